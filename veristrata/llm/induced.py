@@ -4,7 +4,7 @@ A suffix enters the queue of its first character when its successor leaves: queu
 emptied in order of characters, first in first out, so what leaves is sorted. Queue sizes
 are known by counting, so all queues of a level share one array; beyond IN_MEMORY suffixes
 it lies in an unnamed file in the executor's temporary folder, as do the text and types of
-the level, and is written and read in bulk, a whole queue at a time. The substrings between
+the level, and is written and read in bulk, whole queues at a time. The substrings between
 leftmost smaller suffixes are sorted by one such pass, named, and the string of their names
 is sorted by the same procedure.
 """
@@ -17,8 +17,9 @@ import numpy as np
 
 #: Suffixes of a level up to which its arrays stay in memory.
 IN_MEMORY = 8_000_000
-#: Alphabets up to this size empty whole queues in bulk; larger ones have short queues.
-BULK = 4096
+#: Suffixes that leave together, from as many neighbouring queues as hold them.
+BATCH = 2500
+_ZERO = np.zeros(1, np.int64)
 
 
 def allocate(n: int, dtype, limit: int) -> np.ndarray:
@@ -46,78 +47,94 @@ def _spread(queue, heads, chars, items, sign):
     """Append items to the queues of their characters, in order."""
     order = np.argsort(chars, kind="stable")
     chars, items = chars[order], items[order]
-    cuts = np.r_[0, np.nonzero(chars[1:] != chars[:-1])[0] + 1]
-    size = np.diff(np.r_[cuts, len(chars)])
+    cuts = np.concatenate([_ZERO, (chars[1:] != chars[:-1]).nonzero()[0] + 1])
+    size = np.concatenate([cuts[1:], [len(chars)]]) - cuts
     which = chars[cuts]
     rank = np.arange(len(chars)) - np.repeat(cuts, size)
     queue[np.repeat(heads[which], size) + sign * rank] = items
     heads[which] += sign * size
 
 
-def _induce_bulk(t, small, seeds, starts, queue) -> None:
-    """seeds: sorted leftmost smaller suffixes. Fills queue with the sorted suffixes."""
-    sigma = len(starts) - 1
+def _induce(t, small, seeds, starts, queue) -> None:
+    """seeds: sorted leftmost smaller suffixes. Fills queue with the sorted suffixes.
+
+    Neighbouring queues are emptied together as long as nothing that leaves them enters one
+    of them; a queue that feeds itself is emptied in rounds."""
+    n, sigma = len(t), len(starts) - 1
     heads = starts[:-1].copy()
-    of = t[seeds]
-    seed_at = np.searchsorted(of, np.arange(sigma + 1))
+    seed_at = np.searchsorted(t[seeds], np.arange(sigma + 1))
 
-    def larger(items):
+    def step(items, keep):
         prev = items[items > 0] - 1
-        prev = prev[~small[prev]]
-        if len(prev):
-            _spread(queue, heads, t[prev], prev, 1)
-
-    for c in range(sigma):
+        return prev[small[prev] == keep]
+
+    c = 0
+    while c < sigma:
+        e = max(c + 1, int(np.searchsorted(starts, starts[c] + BATCH, "right")) - 1)
+        if e > c + 1:
+            at = np.arange(starts[c], starts[e])
+            of = np.repeat(np.arange(c, e), np.diff(starts[c : e + 1]))
+            live = at < heads[of]
+            own = seeds[seed_at[c] : seed_at[e]]
+            items = np.concatenate([queue[at[live]], own])
+            key = np.concatenate([2 * of[live], 2 * np.repeat(np.arange(c, e), np.diff(seed_at[c : e + 1])) + 1])
+            order = np.argsort(key, kind="stable")
+            items, key = items[order], key[order] >> 1
+            key = key[items > 0]
+            prev = items[items > 0] - 1
+            go = ~small[prev]
+            key, prev = key[go], prev[go]
+            to = t[prev]
+            inside = to[to < e]
+            if len(inside) and (e := int(inside.min())) > c:
+                go = key < e
+                prev, to = prev[go], to[go]
+            if e > c:
+                if len(prev):
+                    _spread(queue, heads, to, prev, 1)
+                c = e
+                continue
         done = starts[c]
         while done < heads[c]:
             done, chunk = heads[c], np.array(queue[done : heads[c]])
-            larger(chunk)
-        if seed_at[c] < seed_at[c + 1]:
-            larger(seeds[seed_at[c] : seed_at[c + 1]])
+            if len(prev := step(chunk, False)):
+                _spread(queue, heads, t[prev], prev, 1)
+        if seed_at[c] < seed_at[c + 1] and len(prev := step(seeds[seed_at[c] : seed_at[c + 1]], False)):
+            _spread(queue, heads, t[prev], prev, 1)
+        c += 1
     ends = heads  # of the larger suffixes of each queue
     tails = starts[1:] - 1
-
-    def smaller(items):
-        prev = items[items > 0] - 1
-        prev = prev[small[prev]]
-        if len(prev):
-            _spread(queue, tails, t[prev], prev, -1)
-
-    for c in range(sigma - 1, -1, -1):
+    c = sigma
+    while c > 0:
+        b = min(c - 1, int(np.searchsorted(starts, starts[c] - BATCH, "left")))
+        if b < c - 1:
+            at = np.arange(starts[c] - 1, starts[b] - 1, -1)
+            of = np.repeat(np.arange(c - 1, b - 1, -1), np.diff(starts[b : c + 1])[::-1])
+            live = (at > tails[of]) | (at < ends[of])
+            items, key = queue[at[live]], of[live]
+            key = key[items > 0]
+            prev = items[items > 0] - 1
+            go = small[prev]
+            key, prev = key[go], prev[go]
+            to = t[prev]
+            inside = to[to >= b]
+            if len(inside) and (b := int(inside.max()) + 1) < c:
+                go = key >= b
+                prev, to = prev[go], to[go]
+            if b < c:
+                if len(prev):
+                    _spread(queue, tails, to, prev, -1)
+                c = b
+                continue
+        c -= 1
         done = starts[c + 1] - 1
         while done > tails[c]:
             done, chunk = tails[c], np.array(queue[tails[c] + 1 : done + 1][::-1])
-            smaller(chunk)
-        if ends[c] > starts[c]:
-            smaller(np.array(queue[starts[c] : ends[c]][::-1]))
-    queue[0] = len(t) - 1
-
-
-def _induce_short(t, small, seeds, starts, queue) -> None:
-    """The same for large alphabets, whose queues hold a few suffixes each."""
-    n = len(t)
-    text, is_small, out = t.tolist(), small.tolist(), [-1] * n
-    tails = (starts[1:] - 1).tolist()
-    for i in seeds[::-1].tolist():
-        c = text[i]
-        out[tails[c]] = i
-        tails[c] -= 1
-    heads = starts[:-1].tolist()
-    for k in range(n):
-        j = out[k] - 1
-        if j >= 0 and not is_small[j]:
-            c = text[j]
-            out[heads[c]] = j
-            heads[c] += 1
-    tails = (starts[1:] - 1).tolist()
-    for k in range(n - 1, -1, -1):
-        j = out[k] - 1
-        if j >= 0 and is_small[j]:
-            c = text[j]
-            out[tails[c]] = j
-            tails[c] -= 1
-    out[0] = n - 1
-    queue[:] = out
+            if len(prev := step(chunk, True)):
+                _spread(queue, tails, t[prev], prev, -1)
+        if ends[c] > starts[c] and len(prev := step(np.array(queue[starts[c] : ends[c]][::-1]), True)):
+            _spread(queue, tails, t[prev], prev, -1)
+    queue[0] = n - 1
 
 
 def _names(t, small, lms, order) -> tuple[np.ndarray, int]:
@@ -153,13 +170,12 @@ def suffix_array(t: np.ndarray, limit: int = IN_MEMORY) -> np.ndarray:
     small = _types(t)
     lms = np.nonzero(small[1:] & ~small[:-1])[0] + 1
     queue = allocate(n, np.int64 if n > 1 << 31 else np.int32, limit)
-    induce = _induce_bulk if sigma <= BULK else _induce_short
-    induce(t, small, lms[np.argsort(t[lms], kind="stable")], starts, queue)
+    _induce(t, small, lms[np.argsort(t[lms], kind="stable")], starts, queue)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = np.array(queue[is_lms[queue]], dtype=np.int64)
     names, k = _names(t, small, lms, order)
     if k < len(lms):
         order = lms[suffix_array(names, limit)]
-    induce(t, small, order, starts, queue)
+    _induce(t, small, order, starts, queue)
     return queue

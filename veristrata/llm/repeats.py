@@ -7,10 +7,11 @@ with a smaller doc_id, or earlier in the same one.
    hash (leftmost on ties), so equal windows belong to equal grams. Consecutive windows of
    one gram form a stretch; only stretches whose gram occurs twice or more can hold repeats.
 2. Equal stretches are one class, with its first occurrence; so a passage that a third of
-   all documents share is a few rows before anything is gathered.
-3. Classes are dealt to shards by gram, each shard's text is suffix-sorted by external
-   induction (``induced``), and runs of neighbours with a common prefix of LENGTH are equal
-   windows. The earliest of a run stays.
+   all documents share is a few rows before anything is gathered. Where a gram has a single
+   class, its occurrences after the first repeat as a whole.
+3. Classes that share their gram with others are dealt to shards by gram, each shard's text
+   is suffix-sorted by external induction (``induced``), and runs of neighbours with a common
+   prefix of LENGTH are equal windows. The earliest of a run stays.
 4. What repeats is brought back to all occurrences and merged into spans by document.
 """
 
@@ -31,7 +32,7 @@ from .induced import IN_MEMORY, allocate, suffix_array
 LENGTH, GRAM = 100, 16
 WINDOWS = LENGTH - GRAM + 1
 #: Bytes of the classes in a shard, on average.
-SHARD = 3_000_000
+SHARD = 4_000_000
 
 
 def _hash(data: np.ndarray) -> np.ndarray:
@@ -69,22 +70,27 @@ def stretches(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    digest = xxhash.xxh3_64_intdigest
     for b in batches:
-        parts = [(k, *stretches(t.as_py())) for k, t in zip(b.column(0).to_pylist(), b.column(1), strict=True)]
-        key = np.repeat(np.array([p[0] for p in parts], np.int64), [len(p[1]) for p in parts])
-        cols = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in (1, 2, 3)]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(key), pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int32))], ["gram", "key", "at", "n"])
+        out: list[list] = [[], [], [], [], []]
+        for k, cell in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            text = cell.as_py()
+            gram, at, n = stretches(text)
+            ends = (at + n + LENGTH - 1).tolist()
+            ids = np.fromiter([digest(text[x:y]) for x, y in zip(at.tolist(), ends, strict=True)], np.uint64, len(at))
+            for held, x in zip(out, (gram, ids.view(np.int64), np.full(len(at), k, np.int64), at.astype(np.int32), n.astype(np.int32)), strict=True):
+                held.append(x)
+        cols = [np.concatenate(x) for x in out] if out[0] else [np.zeros(0, d) for d in (np.int64, np.int64, np.int64, np.int32, np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["gram", "id", "key", "at", "n"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["gram", "id", "key", "at", "n", "body"]
-    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    names = ["gram", "id", "n", "key", "at", "body"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
     for b in batches:
         rows = []
         for key, text, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            for s in spans:
-                body = text[s["at"] : s["at"] + s["n"] + LENGTH - 1]
-                rows.append((s["gram"], xxhash.xxh3_128_digest(body), key, s["at"], s["n"], body))
+            rows += [(s["gram"], s["id"], s["n"], key, s["at"], text[s["at"] : s["at"] + s["n"] + LENGTH - 1]) for s in spans]
         cols = list(zip(*rows, strict=True)) or [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
 
@@ -145,7 +151,7 @@ def _sort_shards(limit: int):
             for i, x, y in zip(who[first].tolist(), window[first].tolist(), window[last].tolist(), strict=True):
                 runs[i].append({"a": x, "b": y + 1})
             kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-            return pa.RecordBatch.from_arrays([gram.combine_chunks(), ids.combine_chunks(), pa.array(key), pa.array(at), pa.array(runs, kind)], ["gram", "id", "f_key", "f_at", "runs"])
+            return pa.RecordBatch.from_arrays([gram.combine_chunks(), ids.combine_chunks(), pa.array(runs, kind)], ["gram", "id", "runs"])
 
         held, last = [], None
         for b in batches:
@@ -200,31 +206,33 @@ def keyed(docs: DataFrame, *carry: str) -> DataFrame:
 
 def spans(docs: DataFrame, shard: int = SHARD, limit: int = IN_MEMORY) -> DataFrame:
     """(key, spans): byte ranges [a, b) that repeat, unmerged, of documents that have any."""
-    found = materialise(docs.select("key", "body").where(F.length("body") >= LENGTH).mapInArrow(_find, "gram long, key long, at int, n int"), "stretches")
+    found = docs.select("key", "body").where(F.length("body") >= LENGTH)
+    found = materialise(found.mapInArrow(_find, "gram long, id long, key long, at int, n int"), "stretches")
     twice = materialise(found.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram"), "grams")
     some = materialise(found.join(twice, "gram", "left_semi"), "stretches")
     discard(found, twice)
-    of = some.groupBy("key").agg(F.collect_list(F.struct("at", "n", "gram")).alias("spans"))
+    first = F.min(F.struct("key", "at")).alias("f")
+    classes = some.groupBy("gram", "id").agg(first, F.first("n").alias("n"), F.count("*").alias("copies"))
+    classes = materialise(classes.select("gram", "id", "n", "f.key", "f.at", "copies"), "classes")
+    several = materialise(classes.groupBy("gram").agg(F.count("*").alias("c"), F.sum(F.col("n") + LENGTH).alias("size")).where("c > 1"), "grams")
+    shards = max(1, -(-(several.agg(F.sum("size")).first()[0] or 0) // shard))
+    mixed = classes.join(several.select("gram"), "gram", "left_semi")
+    of = mixed.groupBy("key").agg(F.collect_list(F.struct("gram", "id", "n", "at")).alias("spans"))
     cut = docs.select("key", "body").join(of, "key").select("key", "body", "spans")
-    cut = materialise(cut.mapInArrow(_cut, "gram long, id binary, key long, at int, n int, body binary"), "cut")
-    discard(some)
-    first = F.min(F.struct("key", "at")).alias("first")
-    classes = cut.groupBy("gram", "id").agg(first, F.first("n").alias("n"), F.first("body").alias("body"), F.count("*").alias("copies"))
-    classes = materialise(classes.select("gram", "id", "n", "first.key", "first.at", "body", "copies"), "classes")
-    size = classes.agg(F.sum(F.length("body"))).first()[0] or 0
-    shards = max(1, -(-size // shard))
-    dealt = classes.select(F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard"), "gram", "id", "n", "key", "at", "body")
+    cut = cut.mapInArrow(_cut, "gram long, id long, n int, key long, at int, body binary")
+    dealt = cut.select(F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard"), "gram", "id", "n", "key", "at", "body")
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "gram", "id")
-    judged = dealt.mapInArrow(_sort_shards(limit), "gram long, id binary, f_key long, f_at int, runs array<struct<a:int,b:int>>")
-    judged = judged.join(classes.select("gram", "id", "copies"), ["gram", "id"]).where("copies > 1 or size(runs) > 0")
-    judged = materialise(judged, "judged")
-    hit = cut.select("gram", "id", "key", "at", "n").join(judged, ["gram", "id"])
+    judged = dealt.mapInArrow(_sort_shards(limit), "gram long, id long, runs array<struct<a:int,b:int>>")
+    judged = classes.join(materialise(judged.where("size(runs) > 0"), "runs"), ["gram", "id"], "left")
+    judged = judged.where("copies > 1 or runs is not null")
+    judged = materialise(judged.select("gram", "id", F.col("key").alias("f_key"), F.col("at").alias("f_at"), "runs"), "judged")
+    hit = some.join(judged, ["gram", "id"])
     every = F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b")))
     runs = F.when((F.col("key") == F.col("f_key")) & (F.col("at") == F.col("f_at")), F.col("runs")).otherwise(every)
     hit = hit.select("key", "at", F.explode(runs).alias("r"))
     hit = hit.select("key", F.struct((F.col("at") + F.col("r.a")).alias("a"), (F.col("at") + F.col("r.b") + LENGTH - 1).alias("b")).alias("s"))
     out = materialise(hit.groupBy("key").agg(F.collect_list("s").alias("spans")), "spans")
-    discard(cut, classes, judged)
+    discard(some, classes, several, judged)
     return out
 
 
