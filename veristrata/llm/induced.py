@@ -18,7 +18,8 @@ import numpy as np
 #: Suffixes of a level up to which its arrays stay in memory.
 IN_MEMORY = 8_000_000
 #: Suffixes that leave together, from as many neighbouring queues as hold them.
-BATCH = 2500
+#: The number follows how often one enters a queue that leaves with it.
+BATCH, LEAST = 8192, 256
 _ZERO = np.zeros(1, np.int64)
 
 
@@ -63,14 +64,16 @@ def _induce(t, small, seeds, starts, queue) -> None:
     n, sigma = len(t), len(starts) - 1
     heads = starts[:-1].copy()
     seed_at = np.searchsorted(t[seeds], np.arange(sigma + 1))
+    seeds = seeds.astype(queue.dtype)
+    code = t << 1 | small  # character and type in one look-up
 
     def step(items, keep):
         prev = items[items > 0] - 1
-        return prev[small[prev] == keep]
+        return prev[code[prev] & 1 == keep]
 
-    c = 0
+    c, batch = 0, BATCH
     while c < sigma:
-        e = max(c + 1, int(np.searchsorted(starts, starts[c] + BATCH, "right")) - 1)
+        e = max(c + 1, int(np.searchsorted(starts, starts[c] + batch, "right")) - 1)
         if e > c + 1:
             at = np.arange(starts[c], starts[e])
             of = np.repeat(np.arange(c, e), np.diff(starts[c : e + 1]))
@@ -78,14 +81,16 @@ def _induce(t, small, seeds, starts, queue) -> None:
             own = seeds[seed_at[c] : seed_at[e]]
             items = np.concatenate([queue[at[live]], own])
             key = np.concatenate([2 * of[live], 2 * np.repeat(np.arange(c, e), np.diff(seed_at[c : e + 1])) + 1])
+            key = (key - 2 * c).astype(np.uint16 if e - c < 1 << 15 else np.int64)  # short keys are radix-sorted
             order = np.argsort(key, kind="stable")
-            items, key = items[order], key[order] >> 1
+            items, key = items[order], (key[order] >> 1).astype(np.int64) + c
             key = key[items > 0]
             prev = items[items > 0] - 1
-            go = ~small[prev]
-            key, prev = key[go], prev[go]
-            to = t[prev]
+            to = code[prev]
+            go = to & 1 == 0
+            key, prev, to = key[go], prev[go], to[go] >> 1
             inside = to[to < e]
+            batch = max(LEAST, batch // 2) if len(inside) else min(BATCH, batch * 2)
             if len(inside) and (e := int(inside.min())) > c:
                 go = key < e
                 prev, to = prev[go], to[go]
@@ -104,9 +109,9 @@ def _induce(t, small, seeds, starts, queue) -> None:
         c += 1
     ends = heads  # of the larger suffixes of each queue
     tails = starts[1:] - 1
-    c = sigma
+    c, batch = sigma, BATCH
     while c > 0:
-        b = min(c - 1, int(np.searchsorted(starts, starts[c] - BATCH, "left")))
+        b = min(c - 1, int(np.searchsorted(starts, starts[c] - batch, "left")))
         if b < c - 1:
             at = np.arange(starts[c] - 1, starts[b] - 1, -1)
             of = np.repeat(np.arange(c - 1, b - 1, -1), np.diff(starts[b : c + 1])[::-1])
@@ -114,10 +119,11 @@ def _induce(t, small, seeds, starts, queue) -> None:
             items, key = queue[at[live]], of[live]
             key = key[items > 0]
             prev = items[items > 0] - 1
-            go = small[prev]
-            key, prev = key[go], prev[go]
-            to = t[prev]
+            to = code[prev]
+            go = to & 1 == 1
+            key, prev, to = key[go], prev[go], to[go] >> 1
             inside = to[to >= b]
+            batch = max(LEAST, batch // 2) if len(inside) else min(BATCH, batch * 2)
             if len(inside) and (b := int(inside.max()) + 1) < c:
                 go = key >= b
                 prev, to = prev[go], to[go]
@@ -167,6 +173,12 @@ def suffix_array(t: np.ndarray, limit: int = IN_MEMORY) -> np.ndarray:
     sigma = int(t.max()) + 1
     starts = np.zeros(sigma + 1, np.int64)
     starts[1:] = np.cumsum(np.bincount(t, minlength=sigma))
+    if sigma < 1 << 15:  # short characters are radix-sorted
+        short = allocate(n, np.uint16, limit)
+        short[:] = t
+        t = short
+    elif t.dtype != np.int32 and n < 1 << 31:
+        t = t.astype(np.int32)
     small = _types(t)
     lms = np.nonzero(small[1:] & ~small[:-1])[0] + 1
     queue = allocate(n, np.int64 if n > 1 << 31 else np.int32, limit)
