@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +39,11 @@ def sentencepiece_ids(docs: DataFrame, machine: wfst.Transducer | None = None) -
         m = shared.value
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
-            ids = [m.encode(t) for t in texts]
+            ids = [m.encode_array(t) for t in texts]
             back = [m.decode(i) for i in ids]
-            cols = [pa.array(ids, pa.list_(pa.int32())), pa.array([len(i) for i in ids], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]), pa.array([x == y for x, y in zip(texts, back, strict=True)], pa.bool_())]
+            sizes = np.array([len(i) for i in ids], np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, sizes.cumsum()].astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+            cols = [lists, pa.array(sizes), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]), pa.array([x == y for x, y in zip(texts, back, strict=True)], pa.bool_())]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["doc_id", "ids", "n_tokens", "decoded_sha256", "round_trip"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, decoded_sha256 string, round_trip boolean")

@@ -26,13 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, utf8
+from .common import discard, give_back, materialise, utf8
 from .induced import IN_MEMORY, allocate, suffix_array
 
 LENGTH, GRAM = 100, 16
 WINDOWS = LENGTH - GRAM + 1
 #: Bytes of the classes in a shard, on average.
-SHARD = 4_000_000
+SHARD = 1_500_000
 
 
 def _hash(data: np.ndarray) -> np.ndarray:
@@ -163,10 +163,12 @@ def _sort_shards(limit: int):
                 if held and shard[i] != last:
                     yield judge(held)
                     held = []
+                    give_back()
                 last = shard[i]
                 held.append(b.slice(i, j - i))
         if held:
             yield judge(held)
+            give_back()
 
     return run
 

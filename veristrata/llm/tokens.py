@@ -69,7 +69,7 @@ def sequences(docs: DataFrame, machine: Transducer | None = None, length: int =
         for b in batches:
             rows = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.array(shared.value.encode(text or ""), dtype="<u2")
+                ids = shared.value.encode_array(text or "").astype("<u2")
                 for k in range(0, max(1, len(ids)), length):
                     part = ids[k : k + length]
                     rows.append((doc_id, k // length, len(part), part.tobytes()))

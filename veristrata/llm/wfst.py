@@ -12,20 +12,24 @@ all of whose pairs pass is unique, so every other path weighs infinity and the s
 path is the model's own encoding.
 
 Composition is split where no piece can cross: before a blank that follows another
-character, and around line ends if no piece has one. Parts seen before are looked up.
+character, around line ends if no piece has one, and before a last character that follows
+the one before it in no piece. Parts seen before are looked up.
 """
 
 from __future__ import annotations
 
 import re
 import struct
-from itertools import chain
+from array import array
+
+import numpy as np
 
 BLANK = "▁"
 UNIGRAM, PAIRS = 1, 2
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Parts and pairs that a worker remembers before it starts anew.
-MEMORY, PAIR_MEMORY, LONG_PART = 300_000, 1_000_000, 64
+MEMORY, PAIR_MEMORY, LONG_PART = 600_000, 1_000_000, 64
+STEPS_BACK = 200
 
 
 def _fields(buf: bytes):
@@ -54,10 +58,12 @@ def _fields(buf: bytes):
 
 
 class _Parts(dict):
-    def __init__(self, find):
-        self.find = find
+    def __init__(self, find, inside):
+        self.find, self.inside = find, inside
 
     def __missing__(self, part: str):
+        if len(part) > 1 and part[-2:] not in self.inside:  # no piece holds both
+            return self[part[:-1]] + self[part[-1]]
         ids = self.find(part)
         if len(part) <= LONG_PART:
             if len(self) >= MEMORY:
@@ -99,15 +105,20 @@ class Transducer:
                 self.byte_of[i] = int(p[3:5], 16)
         self.unknown = kinds.index(UNKNOWN)
         self.control = {i for i, kind in enumerate(kinds) if kind == CONTROL}
-        self.longest = max(map(len, self.ids), default=1)
+        self.longest: dict[str, int] = {}  # of the pieces that start with a character
+        for p in self.ids:
+            self.longest[p[0]] = max(self.longest.get(p[0], 0), len(p))
+        self.text_of = [chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else " ⁇ " if i == self.unknown else "" if i in self.control else p.replace(BLANK, " ") for i, p in enumerate(self.pieces)]
+        self.high = frozenset(i for i, b in self.byte_of.items() if b > 127)
         self.splits = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
         self.lines = not any("\n" in p for p in self.ids)
+        self.inside = frozenset(p[i : i + 2] for p in self.ids for i in range(len(p) - 1))
         self.worst = max(self.weight, default=0.0) + 10
         self._start()
 
     def _start(self) -> None:
-        self.parts = _Parts(self._shortest)
-        self.parts[""] = ()
+        self.parts = _Parts(self._shortest, self.inside)
+        self.parts[""] = b""
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def __getstate__(self):
@@ -135,12 +146,8 @@ class Transducer:
             got = self.pairs[a, b] = self._merged(a + b) == ([a, b] if a else [b])
         return got
 
-    def _arcs(self, s: str, at: int) -> list[str]:
-        """Pieces that start here, longest first; else the character itself."""
-        ids = self.ids
-        return [p for e in range(min(len(s), at + self.longest), at, -1) if (p := s[at:e]) in ids] or [s[at]]
-
-    def _shortest(self, s: str) -> tuple[int, ...]:
+    def _shortest(self, s: str) -> bytes:
+        """Ids of a part, as int32."""
         names = self._unique_path(s) if self.kind == PAIRS else self._least_path(s)
         out: list[int] = []
         for p in names:
@@ -150,36 +157,46 @@ class Transducer:
                 out += [self.bytes[b] for b in p.encode("utf-8", "surrogatepass")]
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
-        return tuple(out)
+        return array("i", out).tobytes()
 
     def _unique_path(self, s: str) -> list[str]:
-        """The only path of finite weight through input, pieces and bigrams: states (position,
-        last piece), longest arcs first; states that turned out to lead nowhere are not
-        entered again."""
-        n, at, path, dead = len(s), 0, [], set()
-        todo = [iter(self._arcs(s, 0))] if n else []
+        """The only path of finite weight through input, pieces and bigrams, depth first with
+        the longest arcs first. A part that needs many steps back is merged as a whole, which
+        gives the same path."""
+        n, at, path, last, back = len(s), 0, [], "", 0
+        ids, longest, pairs = self.ids, self.longest, self.pairs
+        e = min(n, longest.get(s[0], 1))
         while at < n:
+            while e > at:
+                p = s[at:e]
+                if p in ids or e == at + 1:
+                    passes = pairs.get((last, p))
+                    if self._passes(last, p) if passes is None else passes:
+                        break
+                e -= 1
+            if e > at:
+                path.append(p)
+                last, at = p, e
+                if at < n:
+                    e = min(n, at + longest.get(s[at], 1))
+                continue
+            back += 1
+            if not path or back > STEPS_BACK:
+                return self._merged(s)
+            e = at - 1
+            at -= len(path.pop())
             last = path[-1] if path else ""
-            for p in todo[-1]:
-                if (at + len(p), p) not in dead and self._passes(last, p):
-                    path.append(p)
-                    at += len(p)
-                    todo.append(iter(self._arcs(s, at)) if at < n else iter(()))
-                    break
-            else:
-                if not path:  # no piece splits so: merge the whole part
-                    return self._merged(s)
-                dead.add((at, last))
-                at -= len(path.pop())
-                todo.pop()
         return path
 
     def _least_path(self, s: str) -> list[str]:
         n = len(s)
         best, back = [0.0] + [float("inf")] * n, [""] * (n + 1)
         for at in range(n):
-            for p in {*self._arcs(s, at), s[at]}:
+            for e in range(at + 1, min(n, at + max(1, self.longest.get(s[at], 1))) + 1):
+                p = s[at:e]
                 i = self.ids.get(p)
+                if i is None and e > at + 1:
+                    continue
                 w = best[at] + (self.weight[i] if i is not None else self.worst)
                 if w < best[at + len(p)]:
                     best[at + len(p)], back[at + len(p)] = w, p
@@ -189,36 +206,39 @@ class Transducer:
             n -= len(back[n])
         return out[::-1]
 
-    def encode(self, text: str) -> list[int]:
-        """Piece ids of a whole text; none for an empty one."""
+    def encode_array(self, text: str) -> np.ndarray:
+        """Piece ids of a whole text (int32); none for an empty one."""
         if self.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
         if not text:
-            return []
+            return np.zeros(0, np.int32)
         if self.dummy and self.splits and self.lines and "  " not in text and BLANK not in text and text[0] != " ":
             parts = (BLANK + text.replace(" ", " " + BLANK).replace("\n", " \n ")).split(" ")
         else:
             text = (BLANK if self.dummy else "") + text.replace(" ", BLANK)
             parts = re.findall(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n" if self.lines else f"{BLANK}*[^{BLANK}]+|{BLANK}+", text) if self.splits else [text]
-        return list(chain.from_iterable(map(self.parts.__getitem__, parts)))
+        return np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), np.int32)
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_array(text).tolist()
 
     def decode(self, ids) -> str:
         """The text of piece ids; bytes that are not UTF-8 become U+FFFD."""
-        out, held = [], bytearray()
-        for i in ids:
-            if (b := self.byte_of.get(i)) is not None:
-                held.append(b)
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held.clear()
-            if i == self.unknown:
-                out.append(" ⁇ ")
-            elif i not in self.control:
-                out.append(self.pieces[i])
-        if held:
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else list(ids)
+        if self.high.isdisjoint(ids):
+            text = "".join(map(self.text_of.__getitem__, ids))
+        else:
+            out, held = [], bytearray()
+            for i in ids:
+                if (b := self.byte_of.get(i)) is not None:
+                    held.append(b)
+                    continue
+                if held:
+                    out.append(held.decode("utf-8", "replace"))
+                    held.clear()
+                out.append(self.text_of[i])
             out.append(held.decode("utf-8", "replace"))
-        text = "".join(out).replace(BLANK, " ")
+            text = "".join(out)
         return text[1:] if self.dummy and text.startswith(" ") else text
 
 
