@@ -20,6 +20,8 @@ IN_MEMORY = 8_000_000
 #: Suffixes that leave together, from as many neighbouring queues as hold them.
 #: The number follows how often one enters a queue that leaves with it.
 BATCH, LEAST = 8192, 256
+#: Up to this length suffixes leave one at a time.
+SMALL = 40_000
 _ZERO = np.zeros(1, np.int64)
 
 
@@ -143,6 +145,32 @@ def _induce(t, small, seeds, starts, queue) -> None:
     queue[0] = n - 1
 
 
+def _induce_small(t, small, seeds, starts, queue) -> None:
+    """The same for short strings, one suffix at a time: their queues hold few."""
+    n = len(t)
+    chars, out = t.tolist(), [0] * n  # 0: nobody yet, as suffix 0 brings nobody in
+    wide = t[:-1].astype(np.int64)
+    up = np.where(small[:-1], -1, wide).tolist()  # queue that suffix i - 1 enters after i
+    down = np.where(small[:-1], wide, -1).tolist()
+    tails = (starts[1:] - 1).tolist()
+    for i in reversed(seeds.tolist()):
+        c = chars[i]
+        out[tails[c]] = i
+        tails[c] -= 1
+    heads = starts[:-1].tolist()
+    for k in range(n):
+        if (j := out[k]) and (c := up[j - 1]) >= 0:
+            out[heads[c]] = j - 1
+            heads[c] += 1
+    tails = (starts[1:] - 1).tolist()
+    for k in range(n - 1, -1, -1):
+        if (j := out[k]) and (c := down[j - 1]) >= 0:
+            out[tails[c]] = j - 1
+            tails[c] -= 1
+    out[0] = n - 1
+    queue[:] = out
+
+
 def _names(t, small, lms, order) -> tuple[np.ndarray, int]:
     """Name of each leftmost smaller substring, in order of the text, and their number."""
     m = len(lms)
@@ -182,12 +210,13 @@ def suffix_array(t: np.ndarray, limit: int = IN_MEMORY) -> np.ndarray:
     small = _types(t)
     lms = np.nonzero(small[1:] & ~small[:-1])[0] + 1
     queue = allocate(n, np.int64 if n > 1 << 31 else np.int32, limit)
-    _induce(t, small, lms[np.argsort(t[lms], kind="stable")], starts, queue)
+    induce = _induce_small if n <= SMALL < limit else _induce
+    induce(t, small, lms[np.argsort(t[lms], kind="stable")], starts, queue)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = np.array(queue[is_lms[queue]], dtype=np.int64)
     names, k = _names(t, small, lms, order)
     if k < len(lms):
         order = lms[suffix_array(names, limit)]
-    _induce(t, small, order, starts, queue)
+    induce(t, small, order, starts, queue)
     return queue
