@@ -21,7 +21,7 @@ IN_MEMORY = 8_000_000
 #: The number follows how often one enters a queue that leaves with it.
 BATCH, LEAST = 8192, 256
 #: Up to this length suffixes leave one at a time.
-SMALL = 40_000
+SMALL = 200_000
 _ZERO = np.zeros(1, np.int64)
 
 

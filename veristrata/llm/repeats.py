@@ -9,7 +9,8 @@ with a smaller doc_id, or earlier in the same one.
 2. Equal stretches are one class, with its first occurrence; so a passage that a third of
    all documents share is a few rows before anything is gathered. Where a gram has a single
    class, its occurrences after the first repeat as a whole.
-3. Classes that share their gram with others are dealt to shards by gram, each shard's text
+3. Classes that share their gram with others are dealt to shards by gram. Those that agree
+   with none of them on enough bytes beside the gram are left out; the text of the others
    is suffix-sorted by external induction (``induced``), and runs of neighbours with a common
    prefix of LENGTH are equal windows. The earliest of a run stays.
 4. What repeats is brought back to all occurrences and merged into spans by document.
@@ -95,6 +96,32 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
 
 
+def may_repeat(bodies: list[bytes], sizes: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Which bodies may share a window with another one of their gram.
+
+    A shared window has LENGTH - GRAM bytes beside the gram, so at least half of them on one
+    side of it: bodies that share one agree on that many bytes there. Agreement is compared
+    by hash, which can only keep too many."""
+    half = (LENGTH - GRAM) // 2
+    data = np.frombuffer(b"".join(bodies) + bytes(8), np.uint8)
+    lengths = np.array([len(x) for x in bodies], np.int64)
+    start = np.r_[0, lengths.cumsum()[:-1]]
+    hashes = _hash(data[: -8]).view(np.int64) if len(data) >= GRAM + 8 else np.zeros(0, np.int64)
+    where = np.nonzero(hashes == np.repeat(grams, lengths)[: len(hashes)])[0]
+    at = where[np.searchsorted(where, start + sizes - 1)]  # the first one that is in every window
+    word = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    keep = np.zeros(len(bodies), bool)
+    for begin, there in ((at - half, at - half >= start), (at + GRAM, at + GRAM + half <= start + lengths)):
+        rows = np.nonzero(there)[0]
+        x = grams[rows].view(np.uint64).copy()
+        for k in [*range(0, half - 7, 8), half - 8]:
+            x = (x ^ word[begin[rows] + k]) * np.uint64(0x9E3779B97F4A7C15)
+            x ^= x >> np.uint64(29)
+        _, back, many = np.unique(x, return_inverse=True, return_counts=True)
+        keep[rows[many[back] > 1]] = True
+    return keep
+
+
 def repeated_windows(bodies: list[bytes], sizes: np.ndarray, key: np.ndarray, at: np.ndarray, limit: int = IN_MEMORY):
     """(body, window) of every window that also starts earlier; window k of body i starts at
     (key[i], at[i] + k). By the suffix array of all bodies."""
@@ -142,7 +169,9 @@ def _sort_shards(limit: int):
             t = pa.Table.from_batches(rows)
             gram, ids, body = t.column("gram"), t.column("id"), t.column("body").to_pylist()
             n, key, at = (t.column(c).to_numpy() for c in ("n", "key", "at"))
-            who, window = repeated_windows(body, n, key, at, limit)
+            some = np.nonzero(may_repeat(body, n.astype(np.int64), gram.to_numpy()))[0]
+            who, window = repeated_windows([body[i] for i in some.tolist()], n[some], key[some], at[some], limit)
+            who = some[who]
             by = np.lexsort((window, who))
             who, window = who[by], window[by]
             first = np.r_[True, (who[1:] != who[:-1]) | (window[1:] != window[:-1] + 1)] if len(who) else np.zeros(0, bool)

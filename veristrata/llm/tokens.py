@@ -1,31 +1,35 @@
 """Token ids of documents, and their binary shards in training order.
 
-Sequences are numbered densely by hashed buckets, a keyed Feistel permutation with
-cycle-walking gives each number a global slot, and slots are cut into shards of equal
-length. A shard file is an array of records of one fixed size, so slot k lies at byte
-(k mod SLOTS) * stride of shard k div SLOTS: reading is sequential, and resuming at a slot
-is a seek. A file is written under a temporary name and renamed; a task that runs again
-writes the same bytes.
+A sequence's number is its document's number times the most sequences of a document, plus
+its place in the document; a keyed Feistel permutation with cycle-walking scatters these
+numbers over their whole range. Equal parts of the range are the shards, and the order in
+the permuted range is the training order: a sequence's global slot is the number of
+sequences before it. So tokens are made in one pass and shuffled once, without numbering
+them first. A shard file is an array of records of one fixed size and the manifest has the
+first slot of each, so reading is sequential, and resuming at a slot is a seek. A file is
+written under a temporary name and renamed; a task that runs again writes the same bytes.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, new_path
-from .wfst import Transducer, load
 
-#: Token ids of a sequence; slots of a shard; the record is a header and the ids, zero-padded.
-SEQUENCE, SLOTS = 512, 1024
+#: Token ids of a sequence; the record is a header and the ids, zero-padded.
+SEQUENCE = 256
+#: Bytes of text for a shard, on average.
+SHARD_TEXT = 1 << 20
 HEADER = "<qiI"  # doc_id, sequence of the document, number of ids
-PER_BUCKET, BUCKETS = 1000, 4096
 KEY, ROUNDS = 0x5EED_0F_7EA1, 6
 
 
@@ -57,66 +61,57 @@ def permute(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, machine: Transducer | None = None, length: int = SEQUENCE) -> DataFrame:
-    """doc_id, seq, n, ids (little-endian uint16): each text cut into sequences of length ids.
-    A null or empty text has one empty sequence, so that every row has a slot."""
+def load(path: str | None = None, pattern: str | None = None) -> tiktoken.Encoding:
+    """Byte-level pair encoding from a file of ranks, or the public one of 50,256 ids. It has
+    no special tokens, so every text is encoded as it stands and decodes to itself."""
+    if path is None or pattern is None:
+        import public_tokenizers
+
+        path, pattern = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("veristrata", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def sequences(docs: DataFrame, machine: tiktoken.Encoding | None = None, length: int = SEQUENCE, key: int = KEY, shard_text: int = SHARD_TEXT) -> DataFrame:
+    """shard, place, doc_id, seq, n, ids (little-endian uint16): each text cut into sequences
+    of length ids, with their shard and place in training order. These depend on doc_id, the
+    place in the text and the key only; sequences of equal doc_id are ordered by their
+    content. A null or empty text has one empty sequence, so that every row has a slot; rows
+    without a doc_id have the number after the largest."""
     machine = machine or load()
-    if len(machine.pieces) > 1 << 16:
+    if machine.n_vocab > 1 << 16:
         raise ValueError("ids need more than 16 bits")
+    doc_id = F.col("doc_id").cast("long")
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    low, high, most, total = docs.agg(F.min(doc_id), F.max(doc_id), F.max(size), F.sum(size)).first()
+    low, high = (0, 0) if low is None else (low, high)
+    each = max(1, -(-(most or 0) // length))  # an id covers a byte at least
+    span = high - low + 2
+    scattered = span * each >= 1 << 62
+    if scattered:  # numbers of such ids are hashes
+        low, span = 0, (1 << 62) // each
+    domain = span * each
+    shards = max(1, -(-(total or 0) // shard_text))
+    width = -(-domain // shards)
+    number = F.pmod(F.xxhash64(doc_id), F.lit(span)) if scattered else F.coalesce(doc_id - F.lit(low), F.lit(span - 1))
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = shared.value.encode_array(text or "").astype("<u2")
+            rows, index = [], []
+            for first, doc_id, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                ids = np.array(shared.value.encode_ordinary(text or ""), "<u2")
                 for k in range(0, max(1, len(ids)), length):
                     part = ids[k : k + length]
                     rows.append((doc_id, k // length, len(part), part.tobytes()))
+                    index.append(first * each + k // length)
+            place = permute(np.array(index, np.int64), domain, key)
             cols = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["doc_id", "seq", "n", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, seq int, n int, ids binary")
-
-
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, at = None, 0
-    for b in batches:
-        bucket = b.column(0).to_numpy()
-        rank = np.empty(len(bucket), np.int64)
-        cuts = np.r_[0, np.nonzero(bucket[1:] != bucket[:-1])[0] + 1, len(bucket)]
-        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if i == j:
-                continue
-            if bucket[i] != last:
-                last, at = bucket[i], 0
-            rank[i:j] = np.arange(at, at + j - i)
-            at += j - i
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rank), *b.columns[1:]], ["bucket", "rank", *b.schema.names[1:]])
-
-
-def ordered(seqs: DataFrame, key: int = KEY) -> tuple[DataFrame, int]:
-    """(slot, doc_id, seq, n, ids) and their number. Slots depend on the rows' content and the
-    key only; equal rows are interchangeable."""
-    seqs = materialise(seqs, "sequences")
-    n = seqs.count()
-    buckets = min(BUCKETS, max(1, n // PER_BUCKET))
-    h = F.xxhash64("doc_id", "seq", "ids")
-    rows = seqs.withColumn("h", h).withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
-    sizes = dict(rows.groupBy("bucket").count().collect())  # one row a bucket
-    start = np.zeros(buckets + 1, np.int64)
-    for b, k in sizes.items():
-        start[b + 1] = k
-    start = start.cumsum()
-    rows = rows.select("bucket", "h", "doc_id", "seq", "n", "ids").repartition("bucket").sortWithinPartitions("bucket", "h", "doc_id", "seq")
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _number(batches):
-            index = start[b.column(0).to_numpy()] + b.column(1).to_numpy()
-            slot = permute(index, n, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), *b.columns[3:]], ["slot", "doc_id", "seq", "n", "ids"])
-
-    return rows.mapInArrow(place, "slot long, doc_id long, seq int, n int, ids binary"), n
+            cols = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(place // width), pa.array(place), *cols], ["shard", "place", "doc_id", "seq", "n", "ids"])
+
+    return docs.select(number.alias("number"), doc_id.alias("doc_id"), "text").mapInArrow(run, "shard long, place long, doc_id long, seq int, n int, ids binary")
 
 
 def _open(path: str):
@@ -128,8 +123,8 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def write_shards(placed: DataFrame, path: str, length: int = SEQUENCE, slots: int = SLOTS) -> DataFrame:
-    """Write the shard files below path; the manifest: shard, file, first_slot, n_slots, sha256."""
+def write_shards(placed: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
+    """Write the shard files below path; the manifest: shard, file, n_slots, sha256."""
     size, fits = stride(length), length
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,37 +132,41 @@ def write_shards(placed: DataFrame, path: str, length: int = SEQUENCE, slots: in
         out, held = [], None
 
         def close() -> None:
-            shard, first, data = held
+            shard, data = held
             name = f"{root}/shard-{shard:08d}.bin"
             digest = hashlib.sha256(data).hexdigest()
             with store.open_output_stream(f"{name}.{digest[:12]}.tmp") as f:
                 f.write(bytes(data))
             store.move(f"{name}.{digest[:12]}.tmp", name)
-            out.append((shard, name, first, len(data) // size, digest))
+            out.append((shard, name, len(data) // size, digest))
 
         store.create_dir(root, recursive=True)
         for b in batches:
-            for shard, slot, doc_id, seq, n, ids in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for shard, doc_id, seq, n, ids in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if n > fits:
                     raise ValueError("a sequence is longer than the record")
                 if held is None or held[0] != shard:
                     if held is not None:
                         close()
-                    held = (shard, slot, bytearray())
-                held[2].extend(struct.pack(HEADER, -1 if doc_id is None else doc_id, seq, n) + ids + bytes(2 * (fits - n)))
+                    held = (shard, bytearray())
+                held[1].extend(struct.pack(HEADER, -1 if doc_id is None else doc_id, seq, n) + ids + bytes(2 * (fits - n)))
         if held is not None:
             close()
-        cols = list(zip(*out, strict=True)) or [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["shard", "file", "first_slot", "n_slots", "sha256"])
+        cols = list(zip(*out, strict=True)) or [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)], ["shard", "file", "n_slots", "sha256"])
 
-    rows = placed.select(F.floor(F.col("slot") / slots).cast("long").alias("shard"), "slot", "doc_id", "seq", "n", "ids")
-    rows = rows.repartition("shard").sortWithinPartitions("shard", "slot")
-    return materialise(rows.mapInArrow(write, "shard long, file string, first_slot long, n_slots long, sha256 string"), "manifest")
+    rows = placed.repartition("shard").sortWithinPartitions("shard", "place", "doc_id", "seq", "ids")
+    rows = rows.select("shard", "doc_id", "seq", "n", "ids")
+    return materialise(rows.mapInArrow(write, "shard long, file string, n_slots long, sha256 string"), "manifest")
 
 
-def read_shards(df_session, path: str, length: int = SEQUENCE, slots: int = SLOTS) -> DataFrame:
-    """slot, shard, offset, doc_id, seq, n_tokens, tokens_sha256 of every record below path."""
+def read_shards(manifest: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
+    """slot, shard, offset, doc_id, seq, n_tokens, tokens_sha256 of every record below path.
+    The number of records of each shard, a row a file, gives its first slot."""
     size = stride(length)
+    start, first = {}, 0
+    for shard, n in sorted(manifest.select("shard", "n_slots").collect()):
+        start[shard], first = first, first + n
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -176,22 +175,21 @@ def read_shards(df_session, path: str, length: int = SEQUENCE, slots: int = SLOT
                 for at in range(0, len(data), size):
                     doc_id, seq, n = struct.unpack_from(HEADER, data, at)
                     ids = data[at + struct.calcsize(HEADER) : at + struct.calcsize(HEADER) + 2 * n]
-                    rows.append((shard * slots + at // size, shard, at, doc_id, seq, n, hashlib.sha256(ids).hexdigest()))
+                    rows.append((start[shard] + at // size, shard, at, doc_id, seq, n, hashlib.sha256(ids).hexdigest()))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string())
                 cols = list(zip(*rows, strict=True)) or [[]] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["slot", "shard", "offset", "doc_id", "seq", "n_tokens", "tokens_sha256"])
 
-    files = df_session.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path)
+    files = manifest.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path)
     return files.select("path", "content").mapInArrow(parse, "slot long, shard long, offset long, doc_id long, seq int, n_tokens long, tokens_sha256 string")
 
 
-def materialise_order(docs: DataFrame, path: str | None = None, machine: Transducer | None = None, key: int = KEY) -> DataFrame:
+def materialise_order(docs: DataFrame, path: str | None = None, machine: tiktoken.Encoding | None = None, key: int = KEY) -> DataFrame:
     """Write all documents as shards in training order; one row per record, read back from
     the files. A null doc_id is stored as -1; an empty table writes no file."""
     spark = docs.sparkSession
     path = path or new_path(spark, "shards")
-    placed, n = ordered(sequences(docs, machine), key)
-    write_shards(placed, path)
-    if not n:
+    manifest = write_shards(sequences(docs, machine, key=key), path)
+    if manifest.isEmpty():
         return spark.createDataFrame([], "slot long, shard long, offset long, doc_id long, seq int, n_tokens long, tokens_sha256 string")
-    return read_shards(spark, path)
+    return read_shards(manifest, path)
