@@ -18,7 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-VOCABULARY, BIGRAMS = 1 << 20, 1 << 22
+VOCABULARY, BIGRAMS = 1 << 20, 1 << 20
+#: Slots of a row of counts.
+BLOCK = 4096
 #: Words' share of a context (Dirichlet prior) and weight of an unseen word.
 PRIOR, UNSEEN = 8.0, 0.1
 MEMORY = 400_000
@@ -42,10 +44,10 @@ def codes(text: str) -> tuple[np.ndarray, np.ndarray]:
     w = np.fromiter(map(_slots.__getitem__, words), np.uint64, len(words))
     before = np.r_[np.uint64(0), w[:-1]] if len(w) else w
     mixed = (before * np.uint64(0x9E3779B97F4A7C15) + w) * np.uint64(0xD6E8FEB86659FD93)
-    return w.astype(np.int64), (mixed >> np.uint64(42)).astype(np.int64)
+    return w.astype(np.int64), (mixed >> np.uint64(44)).astype(np.int64)
 
 
-assert BIGRAMS == 1 << (64 - 42)
+assert BIGRAMS == 1 << (64 - 44)
 
 
 @dataclass
@@ -62,11 +64,45 @@ class Model:
         return float(-np.log(p).mean())
 
 
+def _blocks(sums: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows of BLOCK counts each, without those that are all zero."""
+    for k, (some, aim) in enumerate(zip(*sums, strict=True)):
+        grid = some.reshape(-1, BLOCK)
+        at = np.nonzero(grid.any(1))[0]
+        for i in range(0, len(at), 64):
+            x = at[i : i + 64]
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * BLOCK), pa.array(g.reshape(-1, BLOCK)[x].ravel())) for g in (some, aim)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), k, np.int32)), pa.array(x.astype(np.int32)), *lists], ["kind", "block", "all", "target"])
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the rows of each block, which come one after the other."""
+    names, held, key = ["kind", "block", "all", "target"], None, None
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), *(pa.array([h], pa.list_(pa.int64())) for h in held)], names)
+
+    for b in batches:
+        counts = [c.flatten().to_numpy().reshape(-1, BLOCK) for c in b.columns[2:]]
+        for i, k in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
+            if k != key:
+                if key is not None:
+                    yield row()
+                key, held = k, [c[i].copy() for c in counts]
+            else:
+                for h, c in zip(held, counts, strict=True):
+                    h += c[i]
+    if key is not None:
+        yield row()
+
+
 def gather(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """(kind, slot, all, target): counts over all tokens; kind 0 words, 1 bigrams, 2 contexts.
-    target: doc_id of the target's documents."""
+    """(kind, block, all, target): counts over all tokens in rows of BLOCK slots; kind 0 words,
+    1 bigrams, 2 contexts. target: doc_id of the target's documents. A task sends one row a
+    block at most, whatever it has read. Labels grow with the corpus, so they are joined by a
+    shuffle at every size."""
     mark = target.select("doc_id").where("doc_id is not null").distinct().withColumn("t", F.lit(1))
-    rows = docs.select("doc_id", "text").join(mark, "doc_id", "left").select("text", F.coalesce("t", F.lit(0)).alias("t"))
+    rows = docs.select("doc_id", "text").join(mark.hint("shuffle_merge"), "doc_id", "left").select("text", F.coalesce("t", F.lit(0)).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = (VOCABULARY, BIGRAMS, VOCABULARY)
@@ -80,28 +116,26 @@ def gather(docs: DataFrame, target: DataFrame) -> DataFrame:
             for t in (0, 1):
                 for k in range(3) if held[t] else ():
                     np.add.at(sums[t][k], np.concatenate([x[k] for x in held[t]]), 1)
-        for k in range(3):
-            some, aim = sums[0][k] + sums[1][k], sums[1][k]
-            at = np.nonzero(some)[0]
-            for i in range(0, len(at), 100_000):
-                x = at[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), k, np.int32)), pa.array(x.astype(np.int32)), pa.array(some[x]), pa.array(aim[x])], ["kind", "slot", "all", "target"])
+        yield from _blocks([[a + b for a, b in zip(*sums, strict=True)], sums[1]])
 
-    per = rows.mapInArrow(run, "kind int, slot int, all long, target long")
-    return per.groupBy("kind", "slot").agg(F.sum("all").alias("all"), F.sum("target").alias("target"))
+    schema = "kind int, block int, all array<long>, target array<long>"
+    per = rows.mapInArrow(run, schema).repartition("kind", "block").sortWithinPartitions("kind", "block")
+    return per.mapInArrow(_add_up, schema)
 
 
 def fit(docs: DataFrame, target: DataFrame) -> tuple[Model, Model]:
-    """(target, background). At most 2 * VOCABULARY + BIGRAMS rows come to the driver. Without
+    """(target, background). At most 2 * VOCABULARY + BIGRAMS counts come to the driver. Without
     target documents the target model has seen nothing: every word is as likely."""
     got = gather(docs, target).toArrow()
-    kind, slot, some, aim = (got.column(i).to_numpy() for i in range(4))
+    counts = [[np.zeros(s, np.int64) for s in (VOCABULARY, BIGRAMS, VOCABULARY)] for _ in range(2)]
+    for kind, block, *rows in zip(*(got.column(i) for i in range(4)), strict=True):
+        at = block.as_py() * BLOCK
+        for held, row in zip(counts, rows, strict=True):
+            held[kind.as_py()][at : at + BLOCK] = row.values.to_numpy()
     models = []
-    mass = (float(aim[kind == 0].sum()), float(some[kind == 0].sum()))
-    for counts, scale in ((aim, 1.0), (some, min(1.0, mass[0] / mass[1]) if mass[0] else 1.0)):
-        dense = [np.zeros(s, np.float32) for s in (VOCABULARY, BIGRAMS, VOCABULARY)]
-        for k in range(3):
-            dense[k][slot[kind == k]] = counts[kind == k] * scale
+    mass = (float(counts[1][0].sum()), float(counts[0][0].sum()))
+    for held, scale in ((counts[1], 1.0), (counts[0], min(1.0, mass[0] / mass[1]) if mass[0] else 1.0)):
+        dense = [(h * scale).astype(np.float32) for h in held]
         words = (dense[0] + UNSEEN) / (dense[0].sum(dtype=np.float64) + UNSEEN * VOCABULARY)
         models.append(Model(words.astype(np.float32), dense[2], dense[1]))
     return models[0], models[1]

@@ -83,6 +83,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held.append(x)
         cols = [np.concatenate(x) for x in out] if out[0] else [np.zeros(0, d) for d in (np.int64, np.int64, np.int64, np.int32, np.int32)]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["gram", "id", "key", "at", "n"])
+    give_back()
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,6 +95,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows += [(s["gram"], s["id"], s["n"], key, s["at"], text[s["at"] : s["at"] + s["n"] + LENGTH - 1]) for s in spans]
         cols = list(zip(*rows, strict=True)) or [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+    give_back()
 
 
 def may_repeat(bodies: list[bytes], sizes: np.ndarray, grams: np.ndarray) -> np.ndarray:
@@ -223,6 +225,7 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append((key, len(text), len(text) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
         cols = list(zip(*out, strict=True)) or [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+    give_back()
 
 
 def keyed(docs: DataFrame, *carry: str) -> DataFrame:

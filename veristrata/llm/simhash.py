@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, utf8
+from .common import give_back, materialise, utf8
 from .components import connected_components, stars
 
 SEED = 42
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
         for b in batches:
             got = np.array([fingerprint(t.as_py(), words) for t in b.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got.view(np.int64))], ["doc_id", "fp"])
+        give_back()
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("text"))
     return src.mapInArrow(run, "doc_id long, fp long")

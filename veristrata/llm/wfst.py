@@ -68,6 +68,7 @@ class _Parts(dict):
         if len(part) <= LONG_PART:
             if len(self) >= MEMORY:
                 self.clear()
+                self[""] = b""
             self[part] = ids
         return ids
 
