@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ctph, lm_score, mixing, repeats, simhash, tokens, toxicity, url_filter, vectors, wfst
-from .common import prepare, table
+from .common import give_back, prepare, table
 
 #: (host, path, verdict) of the rules that op6 applies.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -45,6 +45,7 @@ def sentencepiece_ids(docs: DataFrame, machine: wfst.Transducer | None = None) -
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, sizes.cumsum()].astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
             cols = [lists, pa.array(sizes), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]), pa.array([x == y for x, y in zip(texts, back, strict=True)], pa.bool_())]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["doc_id", "ids", "n_tokens", "decoded_sha256", "round_trip"])
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, decoded_sha256 string, round_trip boolean")
 

@@ -28,7 +28,7 @@ BLANK = "▁"
 UNIGRAM, PAIRS = 1, 2
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Parts and pairs that a worker remembers before it starts anew.
-MEMORY, PAIR_MEMORY, LONG_PART = 600_000, 1_000_000, 64
+MEMORY, PAIR_MEMORY, LONG_PART = 250_000, 300_000, 64
 STEPS_BACK = 200
 
 
