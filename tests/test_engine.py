@@ -7,7 +7,6 @@ from datetime import datetime
 import duckdb
 import pytest
 import yaml
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from veristrata import queries as q
@@ -226,7 +225,7 @@ def test_diff_keeps_errors_and_nulls(spark):
     def row(rule_id, pk, status="Active", seen=NOW, run="r0"):
         return (run, NOW, NOW.date(), "g", rule_id, "n", "t", pk, None, "1", "c", "d", status, None, seen, "row")
 
-    old = frame(spark, [row("a", None), row("b", "1"), row("gone", "1"), row("a", "9", "Resolved"), row("a", "8", None)], VIOLATIONS.jsonValue() and "run_id string, run_timestamp timestamp, batch_date date, rule_group string, rule_id string, rule_name string, table_name string, primary_key_value string, violated_column string, actual_value string, expected_condition string, violation_detail string, issue_status string, resolution_timestamp string, first_seen_at timestamp, violation_scope string")
+    old = frame(spark, [row("a", None), row("b", "1"), row("gone", "1"), row("a", "9", "Resolved"), row("a", "8", None)], "run_id string, run_timestamp timestamp, batch_date date, rule_group string, rule_id string, rule_name string, table_name string, primary_key_value string, violated_column string, actual_value string, expected_condition string, violation_detail string, issue_status string, resolution_timestamp string, first_seen_at timestamp, violation_scope string")
     later = NOW.replace(day=3)
     now = frame(spark, [row("a", None, seen=later, run="r1"), row("a", None, seen=later, run="r1"), row("a", "9", seen=later, run="r1")], VIOLATIONS)
     ids = lambda *x: frame(spark, [(i,) for i in x], "rule_id string")
@@ -256,8 +255,6 @@ def test_retry_and_timeout(spark):
     with pytest.raises(TimeoutError):
         engine.bounded(lambda: time.sleep(2), 0.2)
     assert error_category("ERROR", "Timed out after 5 s") == "infrastructure" and error_category("PASSED", "timeout") is None and error_category("ERROR", "x") == "configuration"
-    slow = spark.range(1).select(F.expr("java_method('java.lang.Thread', 'sleep', cast(1 as bigint))"))
-    assert slow is not None
     with pytest.raises(ValueError):
         Settings.parse({"colour": 1})
 
