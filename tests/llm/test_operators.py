@@ -15,7 +15,7 @@ from veristrata.llm import common, ctph, induced, lm_score, mixing, queries, rep
 from veristrata.llm.components import connected_components, stars
 
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, node long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, score long"
 TEXTS = [(1, "the quick brown fox jumps over the lazy dog " * 9), (2, "the quick brown fox jumps over the lazy dog " * 9), (3, None), (4, ""), (5, " \t\n "), (6, "a" * 3000), (7, "word"), (7, "word"), (None, "no id here at all"),
          (9, "é ü 你好 " * 60), (10, "x" * 99 + " The Quick brown fox jumps " + "y" * 300)]
 
@@ -266,7 +266,7 @@ def test_repeats(spark, docs, nothing):
     for limit in (8_000_000, 100):
         got = repeats.remove_repeats(frame, shard=5000, limit=limit).select(cols).collect()
         assert sorted((tuple(r) for r in got), key=str) == brute_repeats(rows)
-    assert repeats.remove_repeats(nothing, "lang").count() == 0
+    assert repeats.remove_repeats(nothing).count() == 0
 
 
 def test_pipeline(spark, docs):

@@ -141,9 +141,10 @@ def taken(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: columns of docs, one row for each whole pass and one with the
     blocks drawn from the rest, in their order in the text; n_chars follows the text."""
-    src = materialise(docs.withColumn("rid", F.monotonically_increasing_id()), "mix")
-    size = word_count(F.col("text"))
-    sized = src.select("rid", F.xxhash64("doc_id", "source", "text").alias("key"), "source", size.alias("size"))
+    src = docs.select(F.monotonically_increasing_id().alias("rid"), "text", F.struct(*docs.columns).alias("row"))
+    src = materialise(src, "mix")
+    key = F.xxhash64("row.doc_id", "row.source", "text").alias("key")
+    sized = src.select("rid", key, "row.source", word_count(F.col("text")).alias("size"))
     whole, drawn = mix(sized)
     spans = drawn.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("spans"))
     passes = whole.where("passes > 0").select("rid", "passes").join(spans, "rid", "full")
@@ -152,5 +153,6 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("span", F.explode(F.expr(copies)))
     parts = r"regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0)"
     text = F.expr(f"if(span is null, text, array_join(flatten(transform(array({parts}), p -> flatten(transform(span, s -> slice(p, cast(s.first + 1 as int), cast(s.words as int)))))), ''))")
-    rows = rows.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    return rows.select(docs.columns)
+    rows = rows.select("row", text.alias("text"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return rows.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -228,14 +228,16 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     give_back()
 
 
-def keyed(docs: DataFrame, *carry: str) -> DataFrame:
-    """docs as (key, body, doc_id, carried columns); keys are unique and order the documents."""
+def keyed(docs: DataFrame, cols: list[str]) -> tuple[DataFrame, bool]:
+    """(key, body, row) and whether key is doc_id. Keys are unique and order the documents;
+    row holds the given columns, so their names never clash."""
     n, ids = docs.agg(F.count("*"), F.count_distinct("doc_id")).first()
-    cols = ["doc_id", "text", *(c for c in carry if c not in ("doc_id", "text"))]
+    row = F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row")
+    body = utf8(F.col("text")).alias("body")
     if n == ids:
-        return docs.select(F.col("doc_id").cast("long").alias("key"), utf8(F.col("text")).alias("body"), *cols)
-    rows = docs.select(*cols).orderBy(F.col("doc_id").asc_nulls_last(), "text")
-    return materialise(rows.select(F.monotonically_increasing_id().alias("key"), utf8(F.col("text")).alias("body"), *cols), "ordered")
+        return docs.select(F.col("doc_id").cast("long").alias("key"), body, row), True
+    rows = docs.select("doc_id", "text", row).orderBy(F.col("doc_id").asc_nulls_last(), "text")
+    return materialise(rows.select(F.monotonically_increasing_id().alias("key"), body, "row"), "ordered"), False
 
 
 def spans(docs: DataFrame, shard: int = SHARD, limit: int = IN_MEMORY) -> DataFrame:
@@ -270,18 +272,30 @@ def spans(docs: DataFrame, shard: int = SHARD, limit: int = IN_MEMORY) -> DataFr
     return out
 
 
-def remove_repeats(docs: DataFrame, *carry: str, **how) -> DataFrame:
-    """doc_id, the carried columns, n_bytes, n_removed, n_spans, kept_sha256, kept.
+def removed(docs: DataFrame, cols: list[str], **how) -> DataFrame:
+    """row (a struct of the given columns), n_bytes, n_removed, n_spans, kept_sha256, kept."""
+    rows, by_id = keyed(docs, cols)
+    text = rows.select("key", "body").join(spans(rows, **how), "key", "left").select("key", "body", "spans")
+    done = text.mapInArrow(_strip, "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    out = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    if by_id and cols == ["doc_id"]:
+        return done.select(F.struct(F.col("key").alias("doc_id")).alias("row"), *out)
+    return done.join(rows.select("key", "row"), "key").select("row", *out)
+
+
+def remove_repeats(docs: DataFrame, **how) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept.
 
     One row per row of docs. A null text counts as empty; texts under LENGTH bytes lose
     nothing. Rows of equal doc_id are ordered by text, those without an id come last. Spans
     may cut a character: kept_sha256 is of all remaining bytes, kept leaves out what is left
-    of such a character. An empty table gives no rows.
+    of such a character. An empty table gives no rows. Other columns are not read.
     """
-    rows = keyed(docs, *carry)
-    cols = ["doc_id", *(c for c in carry if c not in ("doc_id", "text"))]
-    text = rows.select("key", "body").join(spans(rows, **how), "key", "left").select("key", "body", "spans")
-    done = text.mapInArrow(_strip, "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
-    if cols == ["doc_id"] and "ordered" not in getattr(rows, "_veristrata_path", ""):
-        return done.select(F.col("key").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
-    return done.join(rows.select("key", *cols), "key").select(*cols, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    return removed(docs, ["doc_id"], **how).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+
+
+def without_repeats(docs: DataFrame, **how) -> DataFrame:
+    """The columns of docs with what is kept as text; n_chars, if there is one, follows."""
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    got = removed(docs, [c for c in docs.columns if c not in new], **how)
+    return got.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

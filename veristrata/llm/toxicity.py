@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialise
 
@@ -221,5 +222,5 @@ def score(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(s, pa.float64()), pa.array((s >= THRESHOLD).astype(np.int32))], ["doc_id", *carry, "score", "predicted"])
 
     src = docs.select("doc_id", *carry, F.col("text").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:k])
-    return src.mapInArrow(run, f"{kinds}, score double, predicted int")
+    out = T.StructType([*src.schema.fields[:k], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return src.mapInArrow(run, out)
