@@ -141,7 +141,7 @@ def taken(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: columns of docs, one row for each whole pass and one with the
     blocks drawn from the rest, in their order in the text; n_chars follows the text."""
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), "text", F.struct(*docs.columns).alias("row"))
+    src = docs.select(F.monotonically_increasing_id().alias("rid"), "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
     src = materialise(src, "mix")
     key = F.xxhash64("row.doc_id", "row.source", "text").alias("key")
     sized = src.select("rid", key, "row.source", word_count(F.col("text")).alias("size"))
