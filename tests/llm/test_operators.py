@@ -1,8 +1,10 @@
 """Operators against brute force on small tables with nulls, empties, ties and repeats."""
 
 import hashlib
+import math
 import random
 import sys
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -127,19 +129,36 @@ def test_sentencepiece(spark, docs, nothing):
         wfst.Transducer(b"\x1a\x04\x12\x02ab")
 
 
-def test_lm_score(spark, docs, nothing):
-    target = spark.createDataFrame([(1,), (1,), (None,)], "doc_id long")
-    some = np.zeros(lm_score.BIGRAMS, np.int64)
-    for _, t in TEXTS:
-        np.add.at(some, lm_score.codes(t or "")[1], 1)
-    got = np.zeros_like(some)
-    for r in lm_score.gather(docs, target).where("kind = 1").collect():
-        got[r.block * lm_score.BLOCK : (r.block + 1) * lm_score.BLOCK] = r["all"]
-    assert (some == got).all()
-    rows = lm_score.score(docs, lm_score.fit(docs, target)).collect()
-    by = {r.doc_id: r for r in rows}
-    assert len(rows) == len(TEXTS) and by[1].score > by[10].score and by[3].score == 0.0 and by[3].loss_target is None
-    assert lm_score.score(nothing, lm_score.fit(nothing, target)).count() == 0
+@pytest.mark.parametrize("hot", [1000, 1])
+@pytest.mark.parametrize("ids", [[1, 1, 7, None], []])
+def test_lm_score(spark, docs, nothing, monkeypatch, hot, ids):
+    monkeypatch.setattr(lm_score, "HOT", hot)
+    target = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    texts = [(i, (t or "").encode().lower().split()) for i, t in TEXTS]
+    words, pairs, starts = ([Counter(), Counter()] for _ in range(3))
+    for i, w in texts:
+        for m in (0, 1) if i in ids and i is not None else (0,):
+            words[m].update(w)
+            pairs[m].update(zip([None, *w], w))
+            starts[m][None] += bool(w)
+    n = [sum(c.values()) for c in words]
+
+    def loss(i, w, m):
+        scale, out = (1.0 if m or not n[1] else n[1] / n[0]), []
+        own, twos = (Counter(w), Counter(zip([None, *w], w))) if m and i in ids and i is not None else ({}, {})
+        for u, v in zip([None, *w], w):
+            p = ((words[m][v] - own.get(v, 0)) * scale + lm_score.UNSEEN) / (n[m] * scale + lm_score.UNSEEN * (n[1] or n[0]))
+            before = starts[m][None] - bool(own) if u is None else words[m][u] - own.get(u, 0)
+            out.append(-math.log(((pairs[m][u, v] - twos.get((u, v), 0)) * scale + lm_score.PRIOR * p) / (before * scale + lm_score.PRIOR)))
+        return sum(out) / len(out)
+
+    want = [(i, len(w), *((a := loss(i, w, 1), b := loss(i, w, 0), b - a) if w else (None, None, 0.0))) for i, w in texts]
+    rows = lm_score.score(docs, target, block=300, bucket=50).collect()
+    by = lambda r: (r[0] is None, r[0] or 0)
+    assert len(rows) == len(want)
+    for r, x in zip(sorted(rows, key=by), sorted(want, key=by), strict=True):
+        assert tuple(r)[:2] == x[:2] and tuple(r)[2:] == (None, None, 0.0) if x[2] is None else tuple(r) == pytest.approx(x)
+    assert lm_score.score(nothing, target).count() == 0
 
 
 def test_url_filter(spark):

@@ -1,10 +1,21 @@
 """Cross-entropy difference of matched target and background bigram models.
 
-Both models share one hashed vocabulary: words go to VOCABULARY slots, bigrams to BIGRAMS
-slots, so a model has a fixed size whatever the corpus. Counts cover every token of every
-document; the background's are scaled to the mass of the target, so both are smoothed
-alike. The score of a document is its mean loss per token under the background less that
-under the target: the higher, the more like the target.
+Both models share one open vocabulary and count every word and bigram of every document, so
+what is counted grows with the corpus and no two counts share a slot (keys are 48-bit
+hashes). No task or driver holds a model:
+
+1. Documents are dealt to blocks of about BLOCK bytes of text.
+2. A block sends its distinct keys with their counts, cut by key range, to the buckets.
+3. A bucket adds them up and answers each block with the sums of its keys, in their order.
+4. A block scores its documents with the answers.
+
+A key that is everywhere is one entry a block, whatever its count. The text is shuffled once.
+
+The background's counts are scaled to the mass of the target, so both models are smoothed
+alike: words towards equal shares, bigrams towards words. A document's own counts are left
+out of the target, so the target's documents are scored as any other. The score of a document
+is its mean loss per token under the background less that under the target: the higher, the
+more like the target.
 """
 
 from __future__ import annotations
@@ -18,143 +29,210 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-VOCABULARY, BIGRAMS = 1 << 20, 1 << 20
-#: Slots of a row of counts.
-BLOCK = 4096
-#: Words' share of a context (Dirichlet prior) and weight of an unseen word.
-PRIOR, UNSEEN = 8.0, 0.1
-MEMORY = 400_000
+from .common import discard, give_back, materialise, utf8, word_count
 
+#: Bytes of text in a block, tokens in a bucket.
+BLOCK, BUCKET = 8_000_000, 1_500_000
+#: Words' share of a context (Dirichlet prior), and what every word has beside its count.
+PRIOR, UNSEEN = 1000.0, 0.5
+#: Rows that are equal in id and text beyond this number are dealt one by one.
+HOT = 1000
+MEMORY = 200_000
+WIDTH = 6  # bytes of a key
 
-class _Slots(dict):
-    def __missing__(self, w: str) -> int:
-        s = xxhash.xxh32_intdigest(w.encode()) % (VOCABULARY - 1) + 1  # slot 0: start of a text
+
+class _Keys(dict):
+    def __missing__(self, w: bytes) -> int:
+        k = xxhash.xxh3_64_intdigest(w)
         if len(self) >= MEMORY:
             self.clear()
-        self[w] = s
-        return s
+        self[w] = k
+        return k
 
 
-_slots = _Slots()
+_keys = _Keys()
 
 
-def codes(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Word slots and bigram slots of a whole text."""
+def codes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Word keys and bigram keys of a whole UTF-8 text (A-Z lower-cased, cut at ASCII blanks).
+    The first bigram begins with the start of the text, key 0."""
     words = text.lower().split()
-    w = np.fromiter(map(_slots.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(_keys.__getitem__, words), np.uint64, len(words))
     before = np.r_[np.uint64(0), w[:-1]] if len(w) else w
     mixed = (before * np.uint64(0x9E3779B97F4A7C15) + w) * np.uint64(0xD6E8FEB86659FD93)
-    return w.astype(np.int64), (mixed >> np.uint64(44)).astype(np.int64)
-
-
-assert BIGRAMS == 1 << (64 - 44)
-
-
-@dataclass
-class Model:
-    """Natural-log probabilities: of words, and what a bigram and its context counted."""
-
-    words: np.ndarray  # float32 share of each word slot
-    contexts: np.ndarray
-    bigrams: np.ndarray
-
-    def loss(self, w: np.ndarray, bi: np.ndarray) -> float:
-        before = np.r_[0, w[:-1]]
-        p = (self.bigrams[bi] + PRIOR * self.words[w]) / (self.contexts[before] + PRIOR)
-        return float(-np.log(p).mean())
-
-
-def _blocks(sums: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Rows of BLOCK counts each, without those that are all zero."""
-    for k, (some, aim) in enumerate(zip(*sums, strict=True)):
-        grid = some.reshape(-1, BLOCK)
-        at = np.nonzero(grid.any(1))[0]
-        for i in range(0, len(at), 64):
-            x = at[i : i + 64]
-            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * BLOCK), pa.array(g.reshape(-1, BLOCK)[x].ravel())) for g in (some, aim)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), k, np.int32)), pa.array(x.astype(np.int32)), *lists], ["kind", "block", "all", "target"])
-
-
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the rows of each block, which come one after the other."""
-    names, held, key = ["kind", "block", "all", "target"], None, None
-
-    def row() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), *(pa.array([h], pa.list_(pa.int64())) for h in held)], names)
-
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    cut = np.uint64(64 - 8 * WIDTH)
+    return w >> cut, mixed >> cut
+
+
+def pack(x: np.ndarray, width: int) -> bytes:
+    """The low bytes of uint64 values, byte by byte: equal high bytes compress well."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpack(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
+    return out.reshape(-1).view("<u8")
+
+
+@dataclass(frozen=True)
+class Totals:
+    """Of all documents and of the target: tokens, and texts that have any."""
+
+    tokens: int
+    texts: int
+    target_tokens: int
+    target_texts: int
+
+    def losses(self, word, pair, before) -> tuple[np.ndarray, np.ndarray]:
+        """Loss of each token under target and background. word, pair, before: counts
+        (all, target) of the token, of its bigram and of the bigram's first word. What a
+        context counts beyond its bigrams is the end of a text."""
+        scale = self.target_tokens / self.tokens if self.target_tokens else 1.0
+        mass, out = self.tokens * scale, []  # as many slots as tokens
+        for w, p, c, s, n in zip(word, pair, before, (scale, 1.0), (mass, self.target_tokens), strict=True):
+            words = (w * s + UNSEEN) / (n + UNSEEN * mass)
+            out.append(-np.log((p * s + PRIOR * words) / (c * s + PRIOR)))
+        return out[1], out[0]
+
+
+def _gather(rows: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents of a block (positions in rows), tokens of each, whether target, word and bigram keys."""
+    mark = rows.column("mark").to_pylist()
+    key = rows.column("k").to_pylist()
+    aimed = {k for k, m in zip(key, mark, strict=True) if m}
+    at = [i for i, m in enumerate(mark) if not m]
+    text = rows.column("text")
+    got = [codes(text[i].as_py()) for i in at]
+    sizes = np.array([len(w) for w, _ in got], np.int64)
+    target = np.array([key[i] in aimed for i in at], bool)
+    none = np.zeros(0, np.uint64)
+    return at, sizes, target, np.concatenate([none, *(w for w, _ in got)]), np.concatenate([none, *(b for _, b in got)])
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each block, which come one after the other."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for b in batches:
-        counts = [c.flatten().to_numpy().reshape(-1, BLOCK) for c in b.columns[2:]]
-        for i, k in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
-            if k != key:
-                if key is not None:
-                    yield row()
-                key, held = k, [c[i].copy() for c in counts]
-            else:
-                for h, c in zip(held, counts, strict=True):
-                    h += c[i]
-    if key is not None:
-        yield row()
-
-
-def gather(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """(kind, block, all, target): counts over all tokens in rows of BLOCK slots; kind 0 words,
-    1 bigrams, 2 contexts. target: doc_id of the target's documents. A task sends one row a
-    block at most, whatever it has read. Labels grow with the corpus, so they are joined by a
-    shuffle at every size."""
-    mark = target.select("doc_id").where("doc_id is not null").distinct().withColumn("t", F.lit(1))
-    rows = docs.select("doc_id", "text").join(mark.hint("shuffle_merge"), "doc_id", "left").select("text", F.coalesce("t", F.lit(0)).alias("t"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = (VOCABULARY, BIGRAMS, VOCABULARY)
-        sums = [[np.zeros(s, np.int64) for s in sizes] for _ in range(2)]
-        for b in batches:
-            held: list[list] = [[], []]
-            for text, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                w, bi = codes(text or "")
-                if len(w):
-                    held[t].append((w, bi, np.r_[0, w[:-1]]))
-            for t in (0, 1):
-                for k in range(3) if held[t] else ():
-                    np.add.at(sums[t][k], np.concatenate([x[k] for x in held[t]]), 1)
-        yield from _blocks([[a + b for a, b in zip(*sums, strict=True)], sums[1]])
-
-    schema = "kind int, block int, all array<long>, target array<long>"
-    per = rows.mapInArrow(run, schema).repartition("kind", "block").sortWithinPartitions("kind", "block")
-    return per.mapInArrow(_add_up, schema)
-
-
-def fit(docs: DataFrame, target: DataFrame) -> tuple[Model, Model]:
-    """(target, background). At most 2 * VOCABULARY + BIGRAMS counts come to the driver. Without
-    target documents the target model has seen nothing: every word is as likely."""
-    got = gather(docs, target).toArrow()
-    counts = [[np.zeros(s, np.int64) for s in (VOCABULARY, BIGRAMS, VOCABULARY)] for _ in range(2)]
-    for kind, block, *rows in zip(*(got.column(i) for i in range(4)), strict=True):
-        at = block.as_py() * BLOCK
-        for held, row in zip(counts, rows, strict=True):
-            held[kind.as_py()][at : at + BLOCK] = row.values.to_numpy()
-    models = []
-    mass = (float(counts[1][0].sum()), float(counts[0][0].sum()))
-    for held, scale in ((counts[1], 1.0), (counts[0], min(1.0, mass[0] / mass[1]) if mass[0] else 1.0)):
-        dense = [(h * scale).astype(np.float32) for h in held]
-        words = (dense[0] + UNSEEN) / (dense[0].sum(dtype=np.float64) + UNSEEN * VOCABULARY)
-        models.append(Model(words.astype(np.float32), dense[2], dense[1]))
-    return models[0], models[1]
-
-
-def score(docs: DataFrame, models: tuple[Model, Model]) -> DataFrame:
-    """doc_id, n_tokens, loss_target, loss_background, score of every row. A text without
-    words (null, empty, blank) has 0 tokens, null losses and score 0."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
+        block = b.column(0).to_numpy()
+        cuts = np.r_[0, np.nonzero(block[1:] != block[:-1])[0] + 1, len(block)].tolist()
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            if i == j:
+                continue
+            if held and block[i] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = block[i]
+            held.append(b.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _edges(buckets: int) -> np.ndarray:
+    """First key of every bucket but the first."""
+    return np.array([((1 << 8 * WIDTH) * i) // buckets for i in range(1, buckets)], np.uint64)
+
+
+def _ask(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, a, c = [], [], []
-            for text in b.column(1).to_pylist():
-                w, bi = codes(text or "")
-                n.append(len(w))
-                a.append(shared.value[0].loss(w, bi) if len(w) else None)
-                c.append(shared.value[1].loss(w, bi) if len(w) else None)
-            s = [0.0 if x is None else y - x for x, y in zip(a, c, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), *(pa.array(x, pa.float64()) for x in (a, c, s))], ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
+        edges = _edges(buckets)
+        for rows in _by_block(batches):
+            _, sizes, target, words, pairs = _gather(rows)
+            keys, inverse, many = np.unique(np.concatenate([words, pairs]), return_inverse=True, return_counts=True)
+            aim = np.bincount(inverse, np.tile(np.repeat(target, sizes), 2), len(keys)).astype(np.uint64)
+            cuts = np.r_[0, np.searchsorted(keys, edges), len(keys)].tolist()
+            spans = [(n, i, j) for n, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if i < j]
+            cols = [[n for n, _, _ in spans], [rows.column(0)[0].as_py()] * len(spans), *([pack(x[i:j], w) for _, i, j in spans] for x, w in ((keys, WIDTH), (many, 4), (aim, 4)))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), *[pa.binary()] * 3), strict=True)], ["bucket", "block", "keys", "every", "target"])
+        give_back()
+
+    return run
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in _by_block(batches):  # blocks of rows of one bucket, here
+        asked = [unpack(x.as_py(), WIDTH) for x in rows.column("keys")]
+        keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+        sums = [np.zeros(len(keys), np.uint64) for _ in range(2)]
+        for s, name in zip(sums, ("every", "target"), strict=True):
+            np.add.at(s, inverse, np.concatenate([unpack(x.as_py(), 4) for x in rows.column(name)]))
+        cuts = np.cumsum([len(x) for x in asked])[:-1]
+        back = [np.split(s[inverse], cuts) for s in sums]
+        for i in range(0, len(asked), 256):
+            cols = [rows.column(c).slice(i, 256).combine_chunks() for c in ("block", "bucket")]
+            yield pa.RecordBatch.from_arrays([*cols, *(pa.array([pack(x, 8) for x in b[i : i + 256]], pa.binary()) for b in back)], ["block", "bucket", "every", "target"])
+    give_back()
+
+
+def _finish(totals: Totals):
+    names = ["doc_id", "n_tokens", "loss_target", "loss_background", "score"]
+
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        at, sizes, target, words, pairs = _gather(rows)
+        n, both = len(words), np.concatenate([words, pairs])
+        keys, inverse = np.unique(both, return_inverse=True)
+        answers = answers.sort_by("bucket")
+        sums = [np.concatenate([np.zeros(0, np.uint64), *(unpack(x.as_py(), 8) for x in answers.column(c))]).astype(float)[inverse] for c in ("every", "target")]
+        own = np.nonzero(np.tile(np.repeat(target, sizes), 2))[0]
+        in_doc = np.tile(np.repeat(np.arange(len(sizes)), sizes), 2)[own] * len(keys) + inverse[own]
+        _, back, many = np.unique(in_doc, return_inverse=True, return_counts=True)
+        sums[1][own] -= many[back]
+        begin = np.cumsum(sizes) - sizes
+        before = []
+        for s, first in zip(sums, (totals.texts, totals.target_texts - target[sizes > 0]), strict=True):
+            c = np.r_[0.0, s[: n - 1]] if n else np.zeros(0)
+            c[begin[sizes > 0]] = first
+            before.append(c)
+        losses = totals.losses([s[:n] for s in sums], [s[n:] for s in sums], before)
+        some = np.nonzero(sizes)[0]
+        mean = [np.full(len(sizes), np.nan) for _ in losses]
+        for m, x in zip(mean, losses, strict=True):
+            m[some] = np.add.reduceat(x, begin[some]) / sizes[some] if len(some) else 0
+        score = np.where(sizes > 0, mean[1] - mean[0], 0.0)
+        return pa.Table.from_arrays([rows.column("doc_id").take(pa.array(at, pa.int64())), pa.array(sizes), *(pa.array(m, pa.float64(), mask=sizes == 0) for m in mean), pa.array(score, pa.float64())], names)
+
+    return run
+
+
+def score(docs: DataFrame, target: DataFrame, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
+    """doc_id, n_tokens, loss_target, loss_background, score of every row of docs.
+
+    target: doc_id of the target's documents; the background is all of docs. A text without
+    words (null, empty, blank) has 0 tokens, null losses and score 0. Without target
+    documents every word is as likely in the target. Repeated rows count and are scored each,
+    their copies staying in the target. Other columns are not read. An empty table gives no rows.
+    """
+    spark = docs.sparkSession
+    text = utf8(F.col("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))).alias("k"), text.alias("text"), word_count(F.col("text")).alias("n"))
+    sizes = rows.select("doc_id", "k", F.octet_length("text").cast("long").alias("size"), "n")
+    aimed = target.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct().withColumn("t", F.lit(1))
+    sizes = materialise(sizes.join(aimed, "doc_id", "left").select("k", "size", "n", F.coalesce("t", F.lit(0)).alias("t")), "sizes")
+    some = F.when(F.col("n") > 0, 1).otherwise(0)
+    zero = F.lit(0).cast("long")
+    size, *sums = sizes.agg(*[F.coalesce(F.sum(c), zero) for c in (F.col("size"), F.col("n"), some, F.col("n") * F.col("t"), some * F.col("t"))]).first()
+    totals = Totals(*sums)
+    blocks, buckets = max(1, -(-size // block)), max(1, -(-totals.tokens // bucket))
+
+    copies = materialise(sizes.groupBy("k").agg(F.count("*").alias("copies"), F.max("t").alias("t")).where((F.col("copies") > HOT) | (F.col("t") == 1)), "marks")
+    hot = copies.where(F.col("copies") > HOT).select("k", F.lit(True).alias("hot"))
+    of = F.pmod(F.xxhash64("k"), F.lit(blocks).cast("long"))
+    marks = copies.where("t = 1 and copies <= " + str(HOT)).select(of.alias("block"), "k")
+    dealt = rows.select("doc_id", "k", "text").withColumn("block", of)
+    if not hot.isEmpty():  # copies of one row go to all blocks, its mark as well
+        by_row = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks).cast("long"))
+        dealt = dealt.withColumn("r", by_row).join(hot, "k", "left").withColumn("block", F.when(F.col("hot"), F.col("r")).otherwise(F.col("block")))
+        every = copies.where("t = 1 and copies > " + str(HOT)).select(F.explode(F.sequence(zero, F.lit(blocks - 1).cast("long"))).alias("block"), "k")
+        marks = marks.union(every)
+    dealt = dealt.select("block", "doc_id", "k", "text", F.lit(False).alias("mark"))
+    dealt = dealt.union(marks.select("block", F.lit(None).cast("long"), "k", F.lit(None).cast("binary"), F.lit(True)))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks // 2))
+    dealt = dealt.repartition(parts, "block")
+    asked = dealt.sortWithinPartitions("block").mapInArrow(_ask(buckets), "bucket long, block long, keys binary, every binary, target binary")
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "block long, bucket long, every binary, target binary")
+    answers = answers.repartition(parts, "block")
+    discard(sizes)
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finish(totals), "doc_id long, n_tokens long, loss_target double, loss_background double, score double")

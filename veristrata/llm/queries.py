@@ -58,7 +58,7 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents labelled as of quality 1 that are not held out; background: all."""
     docs = table(prepare(spark), sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1").where(~toxicity.held_out(F.col("doc_id")))
-    return lm_score.score(docs, lm_score.fit(docs, good))
+    return lm_score.score(docs, good)
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
