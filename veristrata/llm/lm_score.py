@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 
 from .common import discard, give_back, materialise, utf8, word_count
 
-#: Bytes of text in a block, tokens in a bucket.
-BLOCK, BUCKET = 8_000_000, 1_500_000
+#: Bytes of text in a block, tokens in a bucket: they bound a task's memory. Rows between them
+#: grow as (text / BLOCK) * (tokens / BUCKET), so far larger corpora want both raised.
+BLOCK, BUCKET = 5_000_000, 1_000_000
 #: Words' share of a context (Dirichlet prior), and what every word has beside its count.
 PRIOR, UNSEEN = 1000.0, 0.5
 #: Rows that are equal in id and text beyond this number are dealt one by one.
