@@ -12,8 +12,8 @@ all of whose pairs pass is unique, so every other path weighs infinity and the s
 path is the model's own encoding.
 
 Composition is split where no piece can cross: before a blank that follows another
-character, around line ends if no piece has one, and before a last character that follows
-the one before it in no piece. Parts seen before are looked up.
+character, around line ends if no piece has one, and between two characters that follow
+each other in no piece. Parts seen before are looked up.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import struct
 from array import array
+from itertools import pairwise
 
 import numpy as np
 
@@ -62,8 +63,9 @@ class _Parts(dict):
         self.find, self.inside = find, inside
 
     def __missing__(self, part: str):
-        if len(part) > 1 and part[-2:] not in self.inside:  # no piece holds both
-            return self[part[:-1]] + self[part[-1]]
+        cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in self.inside]  # no piece holds both
+        if cuts:
+            return b"".join([self[part[i:j]] for i, j in pairwise([0, *cuts, len(part)])])
         ids = self.find(part)
         if len(part) <= LONG_PART:
             if len(self) >= MEMORY:
