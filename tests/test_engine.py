@@ -281,6 +281,57 @@ def test_store(spark, tmp_path):
     assert snap.read("t").count() == 2
 
 
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("kind", ["metastore", "snapshot"])
+def test_crash_leaves_old_or_new(spark, items, tmp_path, kind):
+    """A run that dies after any step of the replacement: the history is there, and the next run goes on from it."""
+
+    def make():
+        return MetastoreStore(spark) if kind == "metastore" else SnapshotStore(spark, f"file://{tmp_path}/{kind}")
+
+    config = {"schema": "crash_db"} if kind == "metastore" else {}
+    engine = Engine(spark, config, settings={"MAX_RULE_RETRIES": 0}, store=make())
+    engine.setup()
+    name = engine.targets["violations_table"]
+    engine.run({"items": YAML}, RunContext("one", NOW))
+    want = sorted(map(tuple, engine.store.read(name).collect()), key=str)
+    step, done = 0, False
+    while not done:
+        store = make()
+        calls = []
+
+        def dying(real, before=False):
+            def call(*a):
+                calls.append(1)
+                if len(calls) > step:
+                    if not before:
+                        real(*a)
+                    raise Crash
+                return real(*a)
+
+            return call
+
+        if kind == "metastore":
+            store._sql = dying(store._sql)
+        else:
+            store._point, store._write = dying(store._point, before=step % 2 == 0), dying(store._write)
+        try:
+            store.replace(name, store.read(name))
+            done = True
+        except Crash:
+            pass
+        again = make()
+        assert again.exists(name) and sorted(map(tuple, again.read(name).collect()), key=str) == want, step
+        step += 1
+    assert step >= 2
+    engine = Engine(spark, config, settings={"MAX_RULE_RETRIES": 0}, store=make())
+    engine.run({"items": YAML}, RunContext("two", NOW.replace(day=2)))
+    assert {r.first_seen_at for r in engine.store.read(name).collect()} == {NOW}
+
+
 def test_queries_match_sql(spark):
     db = duckdb.connect()
     for t in ("region", "nation", "customer", "part", "orders", "lineitem", "events", "documents", "labels"):

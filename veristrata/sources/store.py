@@ -1,8 +1,8 @@
 """Output tables: names, creation, drift, alignment, appends and replacement.
 
 Two back ends. ``MetastoreStore`` uses the session catalog; ``SnapshotStore`` keeps Parquet
-snapshots in a folder and swaps a pointer file, so that a reader never sees half a table
-and a failed write leaves the old one.
+snapshots in a folder and adds a numbered pointer file, so that a reader never sees half a
+table. In both a write that fails or dies at any step leaves the old table or the new one.
 """
 
 from __future__ import annotations
@@ -54,7 +54,21 @@ class MetastoreStore:
     def __init__(self, spark: SparkSession, provider: str = "parquet"):
         self.spark, self.provider = spark, provider
 
+    def _recover(self, name: str) -> None:
+        """Finish what a replacement that died between two steps left: without a table the one
+        before comes back, beside a table it is out of date."""
+        old = f"{safe_name(name)}_old"
+        if self.spark.catalog.tableExists(old):
+            if self.spark.catalog.tableExists(name):
+                self._sql(f"DROP TABLE IF EXISTS {old}")
+            else:
+                self._sql(f"ALTER TABLE {old} RENAME TO {name}")
+
+    def _sql(self, text: str) -> None:
+        self.spark.sql(text)
+
     def exists(self, name: str) -> bool:
+        self._recover(name)
         return self.spark.catalog.tableExists(name)
 
     def ensure(self, name: str, schema: StructType) -> None:
@@ -67,6 +81,7 @@ class MetastoreStore:
             raise RuntimeError(f"{name} differs from its schema ({'; '.join(found)}); it is not migrated")
 
     def read(self, name: str) -> DataFrame:
+        self._recover(name)
         return self.spark.table(name)
 
     def append(self, name: str, df: DataFrame) -> None:
@@ -74,40 +89,57 @@ class MetastoreStore:
         df.write.mode("append").format(self.provider).saveAsTable(name)
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Write beside the table, then rename: df may read the old one."""
-        spare = f"{safe_name(name)}_next"
-        self.spark.sql(f"DROP TABLE IF EXISTS {spare}")
+        """Write beside the table, then rename: df may read the old one. The old table goes
+        only when the new one has its name; until then the next use of the store restores it."""
+        spare, old = f"{safe_name(name)}_next", f"{name}_old"
+        there = self.exists(name)
+        self._sql(f"DROP TABLE IF EXISTS {spare}")
         df.write.format(self.provider).saveAsTable(spare)
-        old = f"{name}_old"
-        self.spark.sql(f"DROP TABLE IF EXISTS {old}")
-        if self.exists(name):
-            self.spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-        self.spark.sql(f"ALTER TABLE {spare} RENAME TO {name}")
-        self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+        if there:
+            self._sql(f"ALTER TABLE {name} RENAME TO {old}")
+        self._sql(f"ALTER TABLE {spare} RENAME TO {name}")
+        self._recover(name)
 
 
 class SnapshotStore:
-    """Tables below a folder of any Hadoop filesystem; CURRENT names the snapshots that count."""
+    """Tables below a folder of any Hadoop filesystem that renames atomically. Pointer files are
+    numbered and the highest names the snapshots that count; one is written under another name
+    and renamed, so it is whole, and nothing that it replaces goes before it is there. Of two
+    writers at a time the second fails."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._Path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _current(self, name: str) -> list[str]:
-        path = self._Path(f"{self.root}/{name}/CURRENT")
-        if not self._fs.exists(path):
+    def _leaves(self, name: str, start: str) -> list[str]:
+        base = self._Path(f"{self.root}/{name}")
+        if not self._fs.exists(base):
             return []
-        return [r.value for r in self.spark.read.text(path.toString()).collect() if r.value]  # a line a snapshot
+        return sorted(x for s in self._fs.listStatus(base) if (x := s.getPath().getName()).startswith(start))
 
-    def _point(self, name: str, parts: list[str]) -> None:
+    def _pointer(self, name: str) -> str | None:
+        return max(self._leaves(name, "CURRENT-"), default=None)
+
+    def _parts(self, name: str, pointer: str | None) -> list[str]:
+        if pointer is None:
+            return []
+        return [r.value for r in self.spark.read.text(f"{self.root}/{name}/{pointer}").collect() if r.value]  # a line a snapshot
+
+    def _current(self, name: str) -> list[str]:
+        return self._parts(name, self._pointer(name))
+
+    def _point(self, name: str, parts: list[str], after: str | None) -> None:
+        """Add the pointer that follows the one these parts were made from."""
         base = f"{self.root}/{name}"
-        tmp, cur = self._Path(f"{base}/CURRENT.{uuid.uuid4().hex[:8]}"), self._Path(f"{base}/CURRENT")
+        number = int(after.rpartition("-")[2]) + 1 if after else 1
+        tmp, new = self._Path(f"{base}/tmp-{uuid.uuid4().hex[:8]}"), self._Path(f"{base}/CURRENT-{number:012d}")
         out = self._fs.create(tmp, True)
         out.write(bytearray("\n".join(parts).encode()))
         out.close()
-        self._fs.delete(cur, False)
-        self._fs.rename(tmp, cur)
+        if self._fs.exists(new) or not self._fs.rename(tmp, new):
+            self._fs.delete(tmp, False)
+            raise RuntimeError(f"{name} was written by another run meanwhile")
 
     def exists(self, name: str) -> bool:
         return bool(self._current(name))
@@ -130,18 +162,21 @@ class SnapshotStore:
         return part
 
     def append(self, name: str, df: DataFrame) -> None:
-        parts = self._current(name)
+        pointer = self._pointer(name)
+        parts = self._parts(name, pointer)
         df = align(df, self.read(name).schema) if parts else df
-        self._point(name, [*parts, self._write(name, df)])
+        self._point(name, [*parts, self._write(name, df)], pointer)
 
     def replace(self, name: str, df: DataFrame) -> None:
         """The snapshots before stay until the next replacement, for a rollback."""
-        old = self._current(name)
-        self._point(name, [part := self._write(name, df)])
-        for s in self._fs.listStatus(self._Path(f"{self.root}/{name}")):
-            leaf = s.getPath().getName()
-            if leaf.startswith("v-") and leaf != part and leaf not in old:
-                self._fs.delete(s.getPath(), True)
+        pointer = self._pointer(name)
+        old = self._parts(name, pointer)
+        self._point(name, [part := self._write(name, df)], pointer)
+        for leaf in self._leaves(name, "CURRENT-")[:-2]:
+            self._fs.delete(self._Path(f"{self.root}/{name}/{leaf}"), False)
+        for leaf in self._leaves(name, "v-"):
+            if leaf != part and leaf not in old:
+                self._fs.delete(self._Path(f"{self.root}/{name}/{leaf}"), True)
 
 
 def append_metric(store, name: str, df: DataFrame) -> str | None:
