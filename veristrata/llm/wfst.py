@@ -1,23 +1,35 @@
 """SentencePiece encoding and decoding as weighted finite-state transduction.
 
-Three machines are compiled from a model file: the normaliser (escaped blanks and a dummy
-prefix), the piece transducer (an arc for each piece, weighing its negative score), and the
-byte fallback (an arc for each character without a piece, giving its UTF-8 bytes). An input
-is composed with them on demand, and its tropical-semiring shortest path is the result.
-
-For unigram models that is the path of least weight. Models of merged pairs rank merges,
-not paths, so a fourth machine is composed: an acceptor of piece bigrams, which passes a
-pair only if merging the two pieces' characters gives just these pieces again. A sequence
-all of whose pairs pass is unique, so every other path weighs infinity and the shortest
-path is the model's own encoding.
-
-Composition is split where no piece can cross: before a blank that follows another
-character, around line ends if no piece has one, and between two characters that follow
-each other in no piece. Parts seen before are looked up.
+Four machines are compiled from a model file:
+
+* the normaliser, a deterministic transducer over characters: the dummy prefix on its first
+  arc, the blank's sign for blanks, and states that swallow runs of blanks where the model
+  squeezes them;
+* the piece transducer, a trie whose arcs read characters; a state that ends a piece has an
+  arc back to the start that writes the piece's id and weighs its negative score;
+* the byte fallback, an arc at the start for every character that is no piece of its own,
+  which writes the ids of its UTF-8 bytes (or the unknown id) and weighs more than any piece;
+* the grammar, an acceptor of piece sequences. For unigram models it has one state and weighs
+  nothing. Models of merged pairs rank merges, not paths: there the state is the last piece,
+  pieces weigh nothing, and an arc weighs 0 if merging the two pieces' characters gives just
+  these pieces again, else infinity. A sequence all of whose pairs weigh 0 is the model's own
+  and the only one. Its arcs are compiled when first met.
+
+An input is a linear acceptor. It is composed with the machines on demand, state by state,
+and the tropical-semiring shortest path to the end is the encoding: Dijkstra's search over
+the composed states (position, grammar state), which among equal weights goes on from the
+furthest position and weighs a grammar arc only when it comes up. Of paths of equal weight
+the one with the longer last piece wins.
+
+The input is cut where no piece can cross, so that paths of the whole are paths of the parts
+one after the other: before a blank that follows another character, around line ends if no
+piece has one, and between two characters that follow each other in no piece. Parts seen
+before are looked up.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import struct
 from array import array
@@ -30,7 +42,12 @@ UNIGRAM, PAIRS = 1, 2
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Parts and pairs that a worker remembers before it starts anew.
 MEMORY, PAIR_MEMORY, LONG_PART = 250_000, 300_000, 64
-STEPS_BACK = 200
+#: Bits of a character or symbol in a key; symbols are piece ids, then characters.
+SHIFT = 21
+NONE = (1 << SHIFT) - 1
+INFINITY = float("inf")
+#: Weights are multiples of 1 / GRAIN, so that sums are exact and ties are ties.
+GRAIN = 1 << 24
 
 
 def _fields(buf: bytes):
@@ -75,13 +92,106 @@ class _Parts(dict):
         return ids
 
 
+class Normaliser:
+    """Deterministic transducer of a text's characters: (state, is blank) -> (output before the
+    character's own, whether it is written, next state)."""
+
+    START, TEXT, GAP = range(3)
+
+    def __init__(self, dummy: bool, squeeze: bool):
+        first = BLANK if dummy else ""
+        if squeeze:
+            self.arcs = {
+                (self.START, True): ("", False, self.START), (self.START, False): (first, True, self.TEXT), (self.TEXT, True): ("", False, self.GAP),
+                (self.TEXT, False): ("", True, self.TEXT), (self.GAP, True): ("", False, self.GAP), (self.GAP, False): (BLANK, True, self.TEXT)}
+        else:
+            self.arcs = {(q, blank): (first if q == self.START else "", True, self.TEXT) for q in (self.START, self.TEXT) for blank in (True, False)}
+
+    def apply(self, text: str) -> str:
+        out, state = [], self.START
+        for at, c in enumerate(text):
+            before, own, state = self.arcs[state, c == " "]
+            out.append(before + (BLANK if c == " " else c) if own else before)
+            if state == self.TEXT and self.arcs[state, True][1:] == (True, state):  # every arc is a loop from here on
+                return "".join(out) + text[at + 1 :].replace(" ", BLANK)
+        return "".join(out)
+
+
+class Pieces:
+    """The piece transducer and the byte fallback at its start."""
+
+    def __init__(self, pieces: list[str], ids: dict[str, int], weight: list[float] | None):
+        self.next: dict[int, int] = {}  # state << SHIFT | character -> state
+        self.final = [-1]  # piece that ends in a state
+        self.size, self.weight = len(pieces), weight
+        self.fallback = max(weight, default=0.0) + 10 if weight else 0.0
+        for p, i in ids.items():
+            state = 0
+            for c in p:
+                key = state << SHIFT | ord(c)
+                if (to := self.next.get(key)) is None:
+                    to = self.next[key] = len(self.final)
+                    self.final.append(-1)
+                state = to
+            self.final[state] = i
+
+    def arcs(self, s: str, at: int) -> list[tuple[float, int, int]]:
+        """(weight, end, symbol) of the paths from the start back to it that read s from at."""
+        out, state, e, n = [], 0, at, len(s)
+        follow, final, weight = self.next, self.final, self.weight
+        while e < n:
+            state = follow.get(state << SHIFT | ord(s[e]))
+            if state is None:
+                break
+            e += 1
+            if (i := final[state]) >= 0:
+                out.append((weight[i] if weight else 0.0, e, i))
+        if not out or out[0][1] != at + 1:
+            out.append((self.fallback, at + 1, self.size + ord(s[at])))
+        return out
+
+
+class Bigrams:
+    """The grammar of models of merged pairs. Its state is the last symbol."""
+
+    def __init__(self, pieces: list[str], ids: dict[str, int], score: list[float]):
+        self.pieces, self.ids, self.score = pieces, ids, score
+        self.known: dict[int, float] = {}
+
+    def text(self, symbol: int) -> str:
+        return "" if symbol == NONE else self.pieces[symbol] if symbol < len(self.pieces) else chr(symbol - len(self.pieces))
+
+    def merged(self, s: str) -> list[str]:
+        """What merging makes of the characters of two pieces: best score first, then leftmost."""
+        out = list(s)
+        while len(out) > 1:
+            best = min(((-self.score[i], k) for k in range(len(out) - 1) if (i := self.ids.get(out[k] + out[k + 1])) is not None), default=None)
+            if best is None:
+                break
+            out[best[1] : best[1] + 2] = [out[best[1]] + out[best[1] + 1]]
+        return out
+
+    def arc(self, last: int, symbol: int) -> float:
+        key = last << SHIFT | symbol
+        weight = self.known.get(key)
+        if weight is None:
+            if len(self.known) >= PAIR_MEMORY:
+                self.known.clear()
+            a, b = self.text(last), self.text(symbol)
+            weight = self.known[key] = 0.0 if self.merged(a + b) == ([a, b] if a else [b]) else INFINITY
+        return weight
+
+    def __getstate__(self):
+        return self.__dict__ | {"known": {}}
+
+
 class Transducer:
     """Compiled from the bytes of a model file; a plain object that can be sent to workers."""
 
     def __init__(self, model: bytes):
         self.pieces: list[str] = []
         kinds, scores = [], []
-        self.kind, self.dummy, self.squeeze, self.fallback = UNIGRAM, True, True, False
+        self.kind, self.dummy, squeeze, self.fallback = UNIGRAM, True, True, False
         for k, v in _fields(model):
             if k == 1:
                 f = dict(_fields(v))
@@ -95,11 +205,15 @@ class Transducer:
                 f = dict(_fields(v))
                 if f.get(2):
                     raise ValueError("a normaliser with a character map is not supported")
-                self.dummy, self.squeeze = bool(f.get(3, 1)), bool(f.get(4, 1))
+                self.dummy, squeeze = bool(f.get(3, 1)), bool(f.get(4, 1))
         if set(kinds) - {NORMAL, UNKNOWN, CONTROL, BYTE} or self.kind not in (UNIGRAM, PAIRS):
             raise ValueError("only unigram and pair-merging models of normal, control and byte pieces are supported")
-        self.ids = {p: i for i, p in enumerate(self.pieces) if kinds[i] == NORMAL}
-        self.weight = [-s for s in scores]
+        ids = {p: i for i, p in enumerate(self.pieces) if kinds[i] == NORMAL}
+        if self.kind == UNIGRAM and any(scores[i] > 0 for i in ids.values()):
+            raise ValueError("scores of a unigram model are logarithms of probabilities")
+        self.normaliser = Normaliser(self.dummy, squeeze)
+        self.machine = Pieces(self.pieces, ids, [round(-x * GRAIN) / GRAIN for x in scores] if self.kind == UNIGRAM else None)
+        self.grammar = Bigrams(self.pieces, ids, scores) if self.kind == PAIRS else None
         self.bytes = [0] * 256
         self.byte_of: dict[int, int] = {}
         for i, (p, kind) in enumerate(zip(self.pieces, kinds, strict=True)):
@@ -107,120 +221,81 @@ class Transducer:
                 self.bytes[int(p[3:5], 16)] = i
                 self.byte_of[i] = int(p[3:5], 16)
         self.unknown = kinds.index(UNKNOWN)
-        self.control = {i for i, kind in enumerate(kinds) if kind == CONTROL}
-        self.longest: dict[str, int] = {}  # of the pieces that start with a character
-        for p in self.ids:
-            self.longest[p[0]] = max(self.longest.get(p[0], 0), len(p))
-        self.text_of = [chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else " ⁇ " if i == self.unknown else "" if i in self.control else p.replace(BLANK, " ") for i, p in enumerate(self.pieces)]
+        control = {i for i, kind in enumerate(kinds) if kind == CONTROL}
+        self.text_of = [chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else " ⁇ " if i == self.unknown else "" if i in control else p.replace(BLANK, " ") for i, p in enumerate(self.pieces)]
         self.high = frozenset(i for i, b in self.byte_of.items() if b > 127)
-        self.splits = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
-        self.lines = not any("\n" in p for p in self.ids)
-        self.inside = frozenset(p[i : i + 2] for p in self.ids for i in range(len(p) - 1))
-        self.worst = max(self.weight, default=0.0) + 10
+        self.splits = not any(BLANK in p.lstrip(BLANK) for p in ids)
+        self.lines = not any("\n" in p for p in ids)
+        self.inside = frozenset(p[i : i + 2] for p in ids for i in range(len(p) - 1))
         self._start()
 
     def _start(self) -> None:
-        self.parts = _Parts(self._shortest, self.inside)
+        self.parts = _Parts(self._encode, self.inside)
         self.parts[""] = b""
-        self.pairs: dict[tuple[str, str], bool] = {}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("parts", "pairs")}
+        return {k: v for k, v in self.__dict__.items() if k != "parts"}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self._start()
 
-    def _merged(self, s: str) -> list[str]:
-        """The pieces that merging gives: best score first, then leftmost."""
-        out = list(s)
-        while len(out) > 1:
-            best = min(((self.weight[i], k) for k in range(len(out) - 1) if (i := self.ids.get(out[k] + out[k + 1])) is not None), default=None)
-            if best is None:
-                break
-            out[best[1] : best[1] + 2] = [out[best[1]] + out[best[1] + 1]]
-        return out
+    def shortest_path(self, s: str) -> tuple[float, list[int]]:
+        """Weight and symbols of the tropical-semiring shortest path through s, the pieces, the
+        byte fallback and the grammar."""
+        n, grammar, arcs = len(s), self.grammar, self.machine.arcs
+        ends, symbols, back = [0], [NONE], [0]  # of the states that are settled
+        settled = set()
+        heap = [(w, n - e, 0, x, 0) for w, e, x in arcs(s, 0)] if n else []
+        heapq.heapify(heap)
+        while heap:
+            weight, left, _, symbol, before = heapq.heappop(heap)
+            at = n - left
+            state = at << SHIFT | symbol if grammar else at
+            if state in settled or grammar and (weight := weight + grammar.arc(symbols[before], symbol)) == INFINITY:
+                continue
+            settled.add(state)
+            here = len(ends)
+            ends.append(at)
+            symbols.append(symbol)
+            back.append(before)
+            if not left:
+                out = []
+                while here:
+                    out.append(symbols[here])
+                    here = back[here]
+                return weight, out[::-1]
+            for w, e, x in arcs(s, at):
+                heapq.heappush(heap, (weight + w, n - e, at, x, here))
+        return 0.0, []
 
-    def _passes(self, a: str, b: str) -> bool:
-        got = self.pairs.get((a, b))
-        if got is None:
-            if len(self.pairs) >= PAIR_MEMORY:
-                self.pairs.clear()
-            got = self.pairs[a, b] = self._merged(a + b) == ([a, b] if a else [b])
-        return got
-
-    def _shortest(self, s: str) -> bytes:
-        """Ids of a part, as int32."""
-        names = self._unique_path(s) if self.kind == PAIRS else self._least_path(s)
+    def _encode(self, s: str) -> bytes:
+        """Ids of a part, as int32: what the arcs of its shortest path write."""
         out: list[int] = []
-        for p in names:
-            if (i := self.ids.get(p)) is not None:
-                out.append(i)
+        for x in self.shortest_path(s)[1]:
+            if x < len(self.pieces):
+                out.append(x)
             elif self.fallback:
-                out += [self.bytes[b] for b in p.encode("utf-8", "surrogatepass")]
+                out += [self.bytes[b] for b in chr(x - len(self.pieces)).encode("utf-8", "surrogatepass")]
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
         return array("i", out).tobytes()
 
-    def _unique_path(self, s: str) -> list[str]:
-        """The only path of finite weight through input, pieces and bigrams, depth first with
-        the longest arcs first. A part that needs many steps back is merged as a whole, which
-        gives the same path."""
-        n, at, path, last, back = len(s), 0, [], "", 0
-        ids, longest, pairs = self.ids, self.longest, self.pairs
-        e = min(n, longest.get(s[0], 1))
-        while at < n:
-            while e > at:
-                p = s[at:e]
-                if p in ids or e == at + 1:
-                    passes = pairs.get((last, p))
-                    if self._passes(last, p) if passes is None else passes:
-                        break
-                e -= 1
-            if e > at:
-                path.append(p)
-                last, at = p, e
-                if at < n:
-                    e = min(n, at + longest.get(s[at], 1))
-                continue
-            back += 1
-            if not path or back > STEPS_BACK:
-                return self._merged(s)
-            e = at - 1
-            at -= len(path.pop())
-            last = path[-1] if path else ""
-        return path
-
-    def _least_path(self, s: str) -> list[str]:
-        n = len(s)
-        best, back = [0.0] + [float("inf")] * n, [""] * (n + 1)
-        for at in range(n):
-            for e in range(at + 1, min(n, at + max(1, self.longest.get(s[at], 1))) + 1):
-                p = s[at:e]
-                i = self.ids.get(p)
-                if i is None and e > at + 1:
-                    continue
-                w = best[at] + (self.weight[i] if i is not None else self.worst)
-                if w < best[at + len(p)]:
-                    best[at + len(p)], back[at + len(p)] = w, p
-        out = []
-        while n:
-            out.append(back[n])
-            n -= len(back[n])
-        return out[::-1]
-
     def encode_array(self, text: str) -> np.ndarray:
         """Piece ids of a whole text (int32); none for an empty one."""
-        if self.squeeze:
-            text = re.sub(" +", " ", text).strip(" ")
+        text = self.normaliser.apply(text)
         if not text:
             return np.zeros(0, np.int32)
-        if self.dummy and self.splits and self.lines and "  " not in text and BLANK not in text and text[0] != " ":
-            parts = (BLANK + text.replace(" ", " " + BLANK).replace("\n", " \n ")).split(" ")
+        if self.splits and self.lines and BLANK + BLANK not in text and " " not in text:
+            parts = text.replace(BLANK, " " + BLANK).replace("\n", " \n ").split(" ")
+        elif self.splits:
+            parts = re.findall(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n" if self.lines else f"{BLANK}*[^{BLANK}]+|{BLANK}+", text)
         else:
-            text = (BLANK if self.dummy else "") + text.replace(" ", BLANK)
-            parts = re.findall(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n" if self.lines else f"{BLANK}*[^{BLANK}]+|{BLANK}+", text) if self.splits else [text]
-        return np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), np.int32)
+            parts = [text]
+        ids = np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), np.int32)
+        if not self.fallback and len(ids):  # a run of unknown characters is one id, across parts as well
+            ids = ids[np.r_[True, (ids[1:] != self.unknown) | (ids[:-1] != self.unknown)]]
+        return ids
 
     def encode(self, text: str) -> list[int]:
         return self.encode_array(text).tolist()
