@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import sys
 from collections import Counter
 from pathlib import Path
@@ -10,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
@@ -82,12 +84,29 @@ def test_simhash(spark, docs, nothing, monkeypatch):
     near = [(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if (a ^ b).bit_count() <= 3]
     want = groups(near, fps)
     frame = spark.createDataFrame([(int(np.uint64(f).view(np.int64)), i) for i, f in enumerate(fps)], "fp long, rep long")
-    for hot, pairwise in ((2048, 16384), (1, 16384), (1, 2)):
+    for hot, pairwise, at_once in ((2048, 16384, 50), (2048, 16384, 10**6), (1, 16384, 10**6), (1, 2, 10**6)):
+        monkeypatch.setattr(simhash, "PAIRS", at_once)
         monkeypatch.setattr(simhash, "HOT", hot)
         monkeypatch.setattr(simhash, "PAIRWISE", pairwise)
         found = [(fps[e.u], fps[e.v]) for e in simhash.links(frame).collect()]
         assert set(found) <= {x for p in near for x in (p, p[::-1])} or all(want[a] == want[b] for a, b in found)
         assert groups(found, fps) == want
+    # the tally against all pairs of a list: it rejects pairs that share the key only, before any bit is counted
+    positions, low = np.array([sorted({*range(8)} - {*simhash.KEYS[0]})] * 300), np.uint64((1 << 40) - 1)
+    alike = np.array([r.getrandbits(40) for _ in range(20)], np.uint64)
+    members = (np.array([r.choice(alike) for _ in range(300)], np.uint64) ^ np.array([r.getrandbits(40) & r.getrandbits(40) & r.getrandbits(40) for _ in range(300)], np.uint64)) & low
+    lists = np.sort(np.array([r.randrange(4) for _ in range(300)]))
+    i, j = simhash.tally(lists, positions, members)
+    by = members.astype(">u8").view(np.uint8).reshape(-1, 8)
+    pairs = [(a, b) for a in range(300) for b in range(a + 1, 300) if lists[a] == lists[b]]
+    enough = [(a, b) for a, b in pairs if (by[a] == by[b]).sum() >= 5]
+    assert list(zip(i.tolist(), j.tolist(), strict=True)) == enough and 0 < len(enough) < len(pairs) // 4
+    near = simhash.close(members, i, j)
+    assert 0 < near.sum() < len(near) and near.sum() == sum(int(members[a] ^ members[b]).bit_count() <= 3 for a, b in pairs)
+    for t in [t or "" for _, t in TEXTS] + ["A B  c", "é x", "a b c d a b c d"]:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", t.encode().translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")))
+        h = [xxhash.xxh64(b" ".join(w[k : k + 3]), seed=42).intdigest() for k in range(max(1, len(w) - 2))] if w else []
+        assert simhash.fingerprint(t.encode()) == sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h))
     got = [tuple(x) for x in simhash.simhash_groups(docs).collect()]
     comp = {}
     for i, _, c in got:

@@ -1,21 +1,26 @@
-"""SimHash near-duplicates through an inverted index of fingerprint bytes.
+"""SimHash near-duplicates through an inverted index of fingerprint bytes with count filtering.
 
 Two 64-bit fingerprints with at most 3 differing bits differ in at most 3 of their 8
-positional bytes, so they share at least 5. Among the first 6 positions at least 3 are
-shared, hence every such pair meets in a posting list whose key is three positions with
-their bytes (20 keys a fingerprint). A pair that meets is counted: it is kept if 5 of
-the 8 positional bytes agree, then verified bit by bit. Lists of single bytes would hold
-1/256 of the corpus each; keys of three bytes keep the guarantee of the count filter with
-lists 65,536 times shorter.
+positional bytes, so they share at least 5 of them: the guaranteed minimum.
+
+1. Index. A list of one positional byte would hold 1/256 of the corpus, so lists are first
+   intersected: among the first 6 positions a pair shares at least 3, hence it meets in a
+   list whose key is three positions with their bytes (20 keys a fingerprint).
+2. Tally. In a list the other five positions are indexed by their bytes, and for every pair
+   that shares a byte there the shared bytes are counted. With the three of the key, pairs
+   below 5 are rejected; pairs that share none of the five are never formed.
+3. Verify. The differing bits of the pairs that are left are counted.
 
 A list longer than ``HOT`` is dealt anew by two more shared bytes: of the 5 positions
-outside its key at least 2 agree, which leaves 24 free bits. Lists that are still long
-are searched by flipping up to 3 of the free bits, linear in the list. A list gives a
-spanning forest of its links, never all its pairs.
+outside its key at least 2 agree, so all pairs of the new list have reached the minimum and
+24 bits are free. A list that is still longer than ``PAIRWISE`` is searched by flipping up to
+3 of the free bits, linear in the list. A list gives a spanning forest of its links, never
+all its pairs, and no list is cut off, so no link is lost.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -31,9 +36,11 @@ from .components import connected_components, stars
 
 SEED = 42
 MAX_BITS, MIN_BYTES = 3, 5
-HOT = 2048
-#: Longest list that is compared pair by pair.
+HOT = 1024
+#: Longest list of pairs that share five bytes that is compared pair by pair.
 PAIRWISE = 16_384
+#: Pairs that are tallied at a time, about.
+PAIRS = 2_000_000
 KEYS = list(combinations(range(6), 3))
 
 
@@ -69,20 +76,51 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     return src.mapInArrow(run, "doc_id long, fp long")
 
 
-def forest(fps: np.ndarray, free: tuple[int, ...] | None = None) -> list[tuple[int, int]]:
-    """Positions (i, j) that span the links among distinct fingerprints (uint64). free: the
-    byte positions in which they may differ at all, if the list is too long for pairs."""
+def tally(lists: np.ndarray, positions: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j), i < j, of a list that share MIN_BYTES positional bytes or more.
+
+    lists: number of the list of each posting, ascending; positions: for each posting the five
+    positions outside the key of its list; fps: fingerprints (uint64)."""
+    n, free = positions.shape
+    by = np.take_along_axis(fps.astype(">u8").view(np.uint8).reshape(-1, 8), positions, 1).astype(np.int64)
+    code = (((lists.astype(np.int64) * free)[:, None] + np.arange(free)) * 256 + by).ravel()
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], order // free
+    start = np.r_[True, code[1:] != code[:-1]]
+    before = np.arange(len(code)) - np.nonzero(start)[0][np.cumsum(start) - 1]  # postings of the run before each
+    j = np.repeat(np.arange(len(code)), before)
+    i = np.arange(len(j)) - np.repeat(np.cumsum(before) - before, before) + np.repeat(np.arange(len(code)) - before, before)
+    pairs, shared = np.unique(owner[i] * n + owner[j], return_counts=True)
+    pairs = pairs[shared + (8 - free) >= MIN_BYTES]
+    return pairs // n, pairs % n
+
+
+def close(fps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(fps[i] ^ fps[j]) <= MAX_BITS
+
+
+def _rounds(lists: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of postings: whole lists that have about PAIRS pairs together."""
+    cuts = np.r_[0, np.nonzero(lists[1:] != lists[:-1])[0] + 1, len(lists)]
+    done = np.cumsum(np.diff(cuts) ** 2) // PAIRS
+    ends = np.r_[np.nonzero(done[1:] != done[:-1])[0] + 1, len(done)]
+    first = 0
+    for e in ends.tolist():
+        yield int(cuts[first]), int(cuts[e])
+        first = e
+
+
+def forest(fps: np.ndarray, free: tuple[int, ...]) -> list[tuple[int, int]]:
+    """Positions (i, j) that span the links among distinct fingerprints (uint64) that differ
+    in the free byte positions only."""
     m, pairs = len(fps), []
-    if m <= PAIRWISE or free is None:
-        step = max(1, 2_000_000 // m)
-        by = fps.astype(">u8").view(np.uint8).reshape(-1, 8)
+    if m <= PAIRWISE:
+        step = max(1, PAIRS // m)
         for i in range(0, m - 1, step):
             bits = np.bitwise_count(fps[i : i + step, None] ^ fps[None, i + 1 :])
             a, b = np.nonzero(bits <= MAX_BITS)
             a, b = a + i, b + i + 1
             keep = b > a
-            a, b = a[keep], b[keep]
-            keep = (by[a] == by[b]).sum(1) >= MIN_BYTES
             pairs += list(stars(zip(a[keep].tolist(), b[keep].tolist(), strict=True)).items())
     else:
         order = np.argsort(fps)
@@ -97,33 +135,59 @@ def forest(fps: np.ndarray, free: tuple[int, ...] | None = None) -> list[tuple[i
     return [(a, b) for a, b in stars(pairs).items() if a != b]
 
 
-def _lists(free_of=None):
-    """Forest edges (u, v) of every posting list in a partition sorted by key."""
-
-    def search(key, fp: list, rep: list) -> list[tuple[int, int]]:
-        fps, reps = np.concatenate(fp).view(np.uint64), np.concatenate(rep)
-        return [(int(reps[a]), int(reps[b])) for a, b in forest(fps, free_of and free_of(key))]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, fp, rep = None, [], []
-        for b in batches:
-            k, f, r = (b[c].to_numpy() for c in ("key", "fp", "rep"))
-            cuts = np.r_[0, np.nonzero(k[1:] != k[:-1])[0] + 1, len(k)]
-            out = []
-            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                if i == j:
-                    continue
-                if k[i] != last:
-                    if sum(map(len, fp)) > 1:
-                        out += search(last, fp, rep)
-                    last, fp, rep = k[i], [], []
-                fp.append(f[i:j])
-                rep.append(r[i:j])
-            yield pd.DataFrame(out, columns=["u", "v"], dtype="int64")
-        if sum(map(len, fp)) > 1:
-            yield pd.DataFrame(search(last, fp, rep), columns=["u", "v"], dtype="int64")
-
-    return run
+def _edges(u, v) -> pd.DataFrame:
+    found = stars(zip(u.tolist(), v.tolist(), strict=True))
+    return pd.DataFrame([e for e in found.items() if e[0] != e[1]], columns=["u", "v"], dtype="int64")
+
+
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Forest edges (u, v) of the short lists of a partition sorted by key: tally, then verify.
+    The last list of a batch may go on in the next one."""
+    outside = np.array([sorted({*range(8)} - {*k}) for k in KEYS])
+    held = None
+    for b in itertools.chain(batches, [None]):
+        if b is None:
+            rows, held = held, None
+        else:
+            rows = b if held is None else pd.concat([held, b])
+            last = rows["key"].to_numpy() == rows["key"].iat[-1] if len(rows) else np.zeros(0, bool)
+            rows, held = rows[~last], rows[last]
+        if rows is None or not len(rows):
+            continue
+        key, fps, rep = rows["key"].to_numpy(), rows["fp"].to_numpy().view(np.uint64), rows["rep"].to_numpy()
+        same = np.r_[key[1:] == key[:-1], False]
+        some = same | np.r_[False, same[:-1]]  # lists of one have no pairs
+        key, fps, rep = key[some], fps[some], rep[some]
+        for x, y in _rounds(key) if len(key) else ():
+            lists = np.cumsum(np.r_[0, key[x + 1 : y] != key[x : y - 1]])
+            i, j = tally(lists, outside[key[x:y] >> 24], fps[x:y])
+            near = close(fps[x:y], i, j)
+            yield _edges(rep[x:y][i[near]], rep[x:y][j[near]])
+
+
+def _refined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Forest edges of the lists that share five bytes, in a partition sorted by key."""
+    last, fp, rep = None, [], []
+
+    def search() -> pd.DataFrame:
+        reps = np.concatenate(rep)
+        pairs = np.array(forest(np.concatenate(fp).view(np.uint64), tuple(sorted({*range(8)} - {*FINE[int(last) >> 40]}))), np.int64).reshape(-1, 2)
+        return _edges(reps[pairs[:, 0]], reps[pairs[:, 1]])
+
+    for b in batches:
+        k, f, r = (b[c].to_numpy() for c in ("key", "fp", "rep"))
+        cuts = np.r_[0, np.nonzero(k[1:] != k[:-1])[0] + 1, len(k)]
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            if i == j:
+                continue
+            if k[i] != last:
+                if sum(map(len, fp)) > 1:
+                    yield search()
+                last, fp, rep = k[i], [], []
+            fp.append(f[i:j])
+            rep.append(r[i:j])
+    if sum(map(len, fp)) > 1:
+        yield search()
 
 
 def _bytes_at(fp: Column, positions: tuple[int, ...]) -> Column:
@@ -156,12 +220,8 @@ def links(classes: DataFrame) -> DataFrame:
         cold = posts.join(hot, "key", "left_anti")
         again = posts.join(hot, "key", "left_semi").select("fp", "rep").distinct()
         fine = _postings(again, FINE).repartition("key").sortWithinPartitions("key")
-
-        def free_of(key):
-            return tuple(sorted({*range(8)} - {*FINE[int(key) >> 40]}))
-
-        parts.append(fine.mapInPandas(_lists(free_of), "u long, v long"))
-    parts.append(cold.repartition("key").sortWithinPartitions("key").mapInPandas(_lists(), "u long, v long"))
+        parts.append(fine.mapInPandas(_refined, "u long, v long"))
+    parts.append(cold.repartition("key").sortWithinPartitions("key").mapInPandas(_counted, "u long, v long"))
     return parts[0] if len(parts) == 1 else parts[0].union(parts[1])
 
 
