@@ -301,9 +301,13 @@ def test_repeats(spark, docs, nothing):
     rows = [(i, "".join(base[a : a + int(rng.integers(20, 400))] + "xy" * int(rng.integers(0, 3)) for a in rng.integers(0, 2800, 4))) for i in range(50)]
     rows += [(100, "a" * 700), (101, "a" * 350), (102, None), (104, "ab" * 300), (105, "x" * 100), (106, "x" * 100)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    for limit in (8_000_000, 100):
-        got = repeats.remove_repeats(frame, shard=5000, limit=limit).select(cols).collect()
-        assert sorted((tuple(r) for r in got), key=str) == brute_repeats(rows)
+    head = "".join(rng.choice(list("abcdefgh"), 150))
+    rows += [(200 + i, head + "".join(rng.choice(list("abcdefgh"), 120)) + head[int(rng.integers(0, 60)) :]) for i in range(40)]  # one gram, many classes
+    rows += [(300 + i, f"{i:03d} " * 30 + head[20:] + f"{i % 7:03d}" * 50) for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for shard, limit in ((5000, 8_000_000), (5000, 100), (700, 8_000_000), (150, 8_000_000)):
+        got = repeats.remove_repeats(frame, shard=shard, limit=limit).select(cols).collect()
+        assert sorted((tuple(r) for r in got), key=str) == brute_repeats(rows), shard
     assert repeats.remove_repeats(nothing).count() == 0
 
 

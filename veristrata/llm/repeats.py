@@ -13,6 +13,10 @@ with a smaller doc_id, or earlier in the same one.
    with none of them on enough bytes beside the gram are left out; the text of the others
    is suffix-sorted by external induction (``induced``), and runs of neighbours with a common
    prefix of LENGTH are equal windows. The earliest of a run stays.
+   A gram whose classes exceed a shard is split exactly: windows that hold the gram at offsets
+   lo to hi share the lo bytes before it and WINDOWS - 1 - hi after it, so its classes are
+   dealt anew by these bytes, for either half of the offsets, until a group fits a shard or
+   is that of a single window, of which all but the first occurrence repeat.
 4. What repeats is brought back to all occurrences and merged into spans by document.
 """
 
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +37,9 @@ from .induced import IN_MEMORY, allocate, suffix_array
 
 LENGTH, GRAM = 100, 16
 WINDOWS = LENGTH - GRAM + 1
-#: Bytes of the classes in a shard, on average.
+#: Bytes of the classes in a shard, on average; a group of classes is split beyond this.
 SHARD = 1_500_000
+RUNS = "array<struct<a:int,b:int>>"
 
 
 def _hash(data: np.ndarray) -> np.ndarray:
@@ -52,11 +58,12 @@ def _hash(data: np.ndarray) -> np.ndarray:
     return x
 
 
-def stretches(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Gram hash (signed), first window and number of windows of each stretch of a text."""
+def stretches(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Gram hash (signed), first window, number of windows and the gram's place after the first
+    window's start, of each stretch of a text."""
     n = len(text) - LENGTH + 1
     if n < 1:
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 4
     h = _hash(np.frombuffer(text, np.uint8))
     low = np.uint64(0xFFFFFFFF)
     m = (h & ~low) | np.arange(len(h), dtype=np.uint64)
@@ -67,39 +74,39 @@ def stretches(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     m = np.minimum(m[: n], m[WINDOWS - width : WINDOWS - width + n])
     at = (m & low).astype(np.int64)
     cut = np.r_[0, np.nonzero(at[1:] != at[:-1])[0] + 1]
-    return h[at[cut]].view(np.int64), cut, np.diff(np.r_[cut, n])
+    return h[at[cut]].view(np.int64), cut, np.diff(np.r_[cut, n]), at[cut] - cut
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_64_intdigest
     for b in batches:
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[] for _ in range(6)]
         for k, cell in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             text = cell.as_py()
-            gram, at, n = stretches(text)
+            gram, at, n, place = stretches(text)
             ends = (at + n + LENGTH - 1).tolist()
             ids = np.fromiter([digest(text[x:y]) for x, y in zip(at.tolist(), ends, strict=True)], np.uint64, len(at))
-            for held, x in zip(out, (gram, ids.view(np.int64), np.full(len(at), k, np.int64), at.astype(np.int32), n.astype(np.int32)), strict=True):
+            for held, x in zip(out, (gram, ids.view(np.int64), np.full(len(at), k, np.int64), at.astype(np.int32), n.astype(np.int32), place.astype(np.int16)), strict=True):
                 held.append(x)
-        cols = [np.concatenate(x) for x in out] if out[0] else [np.zeros(0, d) for d in (np.int64, np.int64, np.int64, np.int32, np.int32)]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["gram", "id", "key", "at", "n"])
+        cols = [np.concatenate(x) for x in out] if out[0] else [np.zeros(0, d) for d in (np.int64, np.int64, np.int64, np.int32, np.int32, np.int16)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["gram", "id", "key", "at", "n", "place"])
     give_back()
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["gram", "id", "n", "key", "at", "body"]
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+    names = ["gram", "id", "n", "place", "key", "at", "body"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int64(), pa.int32(), pa.binary())
     for b in batches:
         rows = []
         for key, text, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            rows += [(s["gram"], s["id"], s["n"], key, s["at"], text[s["at"] : s["at"] + s["n"] + LENGTH - 1]) for s in spans]
-        cols = list(zip(*rows, strict=True)) or [[]] * 6
+            rows += [(s["gram"], s["id"], s["n"], s["place"], key, s["at"], text[s["at"] : s["at"] + s["n"] + LENGTH - 1]) for s in spans]
+        cols = list(zip(*rows, strict=True)) or [[]] * 7
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
     give_back()
 
 
-def may_repeat(bodies: list[bytes], sizes: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """Which bodies may share a window with another one of their gram.
+def may_repeat(bodies: list[bytes], place: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Which bodies may share a window with another one of their gram, which is at place.
 
     A shared window has LENGTH - GRAM bytes beside the gram, so at least half of them on one
     side of it: bodies that share one agree on that many bytes there. Agreement is compared
@@ -108,9 +115,7 @@ def may_repeat(bodies: list[bytes], sizes: np.ndarray, grams: np.ndarray) -> np.
     data = np.frombuffer(b"".join(bodies) + bytes(8), np.uint8)
     lengths = np.array([len(x) for x in bodies], np.int64)
     start = np.r_[0, lengths.cumsum()[:-1]]
-    hashes = _hash(data[: -8]).view(np.int64) if len(data) >= GRAM + 8 else np.zeros(0, np.int64)
-    where = np.nonzero(hashes == np.repeat(grams, lengths)[: len(hashes)])[0]
-    at = where[np.searchsorted(where, start + sizes - 1)]  # the first one that is in every window
+    at = start + place
     word = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
     keep = np.zeros(len(bodies), bool)
     for begin, there in ((at - half, at - half >= start), (at + GRAM, at + GRAM + half <= start + lengths)):
@@ -159,8 +164,13 @@ def repeated_windows(bodies: list[bytes], sizes: np.ndarray, key: np.ndarray, at
     who = owner[order].astype(np.int64)
     window = order - start[who]
     by = np.lexsort((at[who] + window, key[who], group))
-    later = np.r_[False, group[by][1:] == group[by][:-1]] if len(by) else np.zeros(0, bool)
-    return who[by][later], window[by][later]
+    if not len(by):
+        return who, window
+    who, window, group = who[by], window[by], group[by]
+    new = np.r_[True, group[1:] != group[:-1]]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    later = (key[who] != key[who[first]]) | (at[who] + window != at[who[first]] + window[first])  # a class may be here twice
+    return who[later], window[later]
 
 
 def _sort_shards(limit: int):
@@ -170,8 +180,8 @@ def _sort_shards(limit: int):
         def judge(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
             t = pa.Table.from_batches(rows)
             gram, ids, body = t.column("gram"), t.column("id"), t.column("body").to_pylist()
-            n, key, at = (t.column(c).to_numpy() for c in ("n", "key", "at"))
-            some = np.nonzero(may_repeat(body, n.astype(np.int64), gram.to_numpy()))[0]
+            n, place, key, at = (t.column(c).to_numpy() for c in ("n", "place", "key", "at"))
+            some = np.nonzero(may_repeat(body, place.astype(np.int64), gram.to_numpy()))[0]
             who, window = repeated_windows([body[i] for i in some.tolist()], n[some], key[some], at[some], limit)
             who = some[who]
             by = np.lexsort((window, who))
@@ -240,26 +250,77 @@ def keyed(docs: DataFrame, cols: list[str]) -> tuple[DataFrame, bool]:
     return materialise(rows.select(F.monotonically_increasing_id().alias("key"), body, "row"), "ordered"), False
 
 
+def _cut_out(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes with their text, from their first occurrence."""
+    of = classes.groupBy("key").agg(F.collect_list(F.struct("gram", "id", "n", "place", "at")).alias("spans"))
+    cut = docs.select("key", "body").join(of, "key").select("key", "body", "spans")
+    return cut.mapInArrow(_cut, "gram long, id long, n int, place short, key long, at int, body binary")
+
+
+def _sorted(groups: DataFrame, size: int, shard: int, limit: int) -> DataFrame:
+    """(gram, id, runs) of the classes whose windows repeat, by shards of whole groups (g)."""
+    shards = max(1, -(-size // shard))
+    dealt = groups.select(F.pmod(F.xxhash64("g"), F.lit(shards)).alias("shard"), "gram", "id", "n", "place", "key", "at", "body")
+    dealt = dealt.repartition("shard").sortWithinPartitions("shard", "gram", "id")
+    return dealt.mapInArrow(_sort_shards(limit), f"gram long, id long, runs {RUNS}").where("size(runs) > 0")
+
+
+def _split(hot: DataFrame, shard: int, limit: int) -> DataFrame:
+    """(gram, id, runs) for classes of grams that no shard holds. Each step halves the offsets,
+    so there are at most log2(WINDOWS) of them; a class is in one group for each half that its
+    windows reach."""
+    size = (F.col("n") + LENGTH).cast("long")
+    todo = hot.withColumns({"lo": F.lit(0), "hi": F.lit(WINDOWS - 1)})
+    found, tables = [], []
+    while True:
+        mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
+        halves = F.array(F.struct(F.col("lo"), mid.alias("hi")), F.struct((mid + 1).alias("lo"), F.col("hi")))
+        halves = todo.withColumn("half", F.explode(halves)).withColumns({"lo": F.col("half.lo"), "hi": F.col("half.hi")}).drop("half")
+        halves = halves.where((F.col("place") >= F.col("lo")) & (F.col("place") - F.col("n") + 1 <= F.col("hi")))
+        shared = F.substring("body", F.col("place") - F.col("lo") + 1, F.col("lo") + GRAM + WINDOWS - 1 - F.col("hi"))
+        halves = materialise(halves.withColumn("g", F.xxhash64("gram", "lo", shared)), "halves")
+        tables.append(halves)
+        groups = materialise(halves.groupBy("g").agg(F.count("*").alias("c"), F.sum(size).alias("size")).where("c > 1"), "groups")
+        tables.append(groups)
+        small, big = groups.where(F.col("size") <= shard), groups.where(F.col("size") > shard)
+        total = small.agg(F.sum("size")).first()[0]
+        if total:
+            found.append(_sorted(halves.join(small.select("g"), "g", "left_semi"), total, shard, limit))
+        if big.isEmpty():
+            break
+        todo = halves.join(big.select("g"), "g", "left_semi")
+        single = todo.where("lo = hi")
+        first = single.groupBy("g").agg(F.min(F.struct("key", "at", "id")).alias("f"))
+        again = single.join(first, "g").where("f.id <> id")
+        a = (F.col("place") - F.col("lo")).cast("int")
+        found.append(again.select("gram", "id", F.array(F.struct(a.alias("a"), (a + 1).alias("b"))).alias("runs")))
+        todo = todo.where("lo < hi").drop("g")
+    empty = hot.select("gram", "id", F.lit(None).cast(RUNS).alias("runs")).limit(0)
+    runs = reduce(DataFrame.union, found, empty).groupBy("gram", "id").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    runs = materialise(runs, "runs")  # at most WINDOWS runs a class
+    discard(*tables)
+    return runs
+
+
 def spans(docs: DataFrame, shard: int = SHARD, limit: int = IN_MEMORY) -> DataFrame:
     """(key, spans): byte ranges [a, b) that repeat, unmerged, of documents that have any."""
     found = docs.select("key", "body").where(F.length("body") >= LENGTH)
-    found = materialise(found.mapInArrow(_find, "gram long, id long, key long, at int, n int"), "stretches")
+    found = materialise(found.mapInArrow(_find, "gram long, id long, key long, at int, n int, place short"), "stretches")
     twice = materialise(found.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram"), "grams")
     some = materialise(found.join(twice, "gram", "left_semi"), "stretches")
     discard(found, twice)
     first = F.min(F.struct("key", "at")).alias("f")
-    classes = some.groupBy("gram", "id").agg(first, F.first("n").alias("n"), F.count("*").alias("copies"))
-    classes = materialise(classes.select("gram", "id", "n", "f.key", "f.at", "copies"), "classes")
-    several = materialise(classes.groupBy("gram").agg(F.count("*").alias("c"), F.sum(F.col("n") + LENGTH).alias("size")).where("c > 1"), "grams")
-    shards = max(1, -(-(several.agg(F.sum("size")).first()[0] or 0) // shard))
-    mixed = classes.join(several.select("gram"), "gram", "left_semi")
-    of = mixed.groupBy("key").agg(F.collect_list(F.struct("gram", "id", "n", "at")).alias("spans"))
-    cut = docs.select("key", "body").join(of, "key").select("key", "body", "spans")
-    cut = cut.mapInArrow(_cut, "gram long, id long, n int, key long, at int, body binary")
-    dealt = cut.select(F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard"), "gram", "id", "n", "key", "at", "body")
-    dealt = dealt.repartition("shard").sortWithinPartitions("shard", "gram", "id")
-    judged = dealt.mapInArrow(_sort_shards(limit), "gram long, id long, runs array<struct<a:int,b:int>>")
-    judged = classes.join(materialise(judged.where("size(runs) > 0"), "runs"), ["gram", "id"], "left")
+    classes = some.groupBy("gram", "id").agg(first, F.first("n").alias("n"), F.first("place").alias("place"), F.count("*").alias("copies"))
+    classes = materialise(classes.select("gram", "id", "n", "place", "f.key", "f.at", "copies"), "classes")
+    several = materialise(classes.groupBy("gram").agg(F.count("*").alias("c"), F.sum((F.col("n") + LENGTH).cast("long")).alias("size")).where("c > 1"), "grams")
+    is_hot = F.col("size") > shard
+    cold_size, hot_size = several.agg(F.sum(F.when(~is_hot, F.col("size"))), F.sum(F.when(is_hot, F.col("size")))).first()
+    mixed = classes.join(several.where(~is_hot).select("gram"), "gram", "left_semi")
+    runs = materialise(_sorted(_cut_out(docs, mixed).withColumn("g", F.col("gram")), cold_size or 0, shard, limit), "runs")
+    if hot_size:
+        hot = classes.join(several.where(is_hot).select("gram"), "gram", "left_semi")
+        runs = runs.unionByName(_split(materialise(_cut_out(docs, hot), "hot"), shard, limit))
+    judged = classes.join(runs, ["gram", "id"], "left")
     judged = judged.where("copies > 1 or runs is not null")
     judged = materialise(judged.select("gram", "id", F.col("key").alias("f_key"), F.col("at").alias("f_at"), "runs"), "judged")
     hit = some.join(judged, ["gram", "id"])
