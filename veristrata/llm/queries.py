@@ -105,6 +105,22 @@ c as (select a, min(b) as component_id from r group by a),
 n as (select a, count(*) as n from l group by a)
 select e.vec_id, coalesce(n.n, 0)::bigint as n_links, c.component_id, e.vec_id = c.component_id as kept
 from embeddings e left join c on c.a = e.vec_id left join n on n.a = e.vec_id""",
+        # windows of 100 bytes as hexadecimal digits, taken from pieces so that no long text is scanned for each
+        "op10_suffix_array_dedup": """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, '')))::bigint as n from documents),
+b as (select doc_id, n, h, unnest(range(0, greatest(n - 99, 0), 256)) as base from d),
+p as (select doc_id, base, least(256, n - 99 - base) as k, substr(h, 2 * base + 1, 710) as s from b),
+i as (select doc_id, base, s, unnest(range(k)) as i from p),
+w as (select doc_id, base + i as pos, md5(substr(s, 2 * i + 1, 200)) as m from i),
+f as (select doc_id, pos, row_number() over (partition by m order by doc_id, pos) as r from w),
+g as (select doc_id, pos, coalesce(pos > lag(pos) over (partition by doc_id order by pos) + 100, true) as new from f where r > 1),
+s as (select doc_id, pos, sum(new::int) over (partition by doc_id order by pos rows unbounded preceding) as k from g),
+x as (select doc_id, min(pos) as a, max(pos) + 100 as b from s group by doc_id, k),
+gaps as (select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as a, a as b from x union all select doc_id, max(b), null from x group by doc_id),
+kept as (select g.doc_id, string_agg(substr(d.h, 2 * g.a + 1, 2 * (coalesce(g.b, d.n) - g.a)), '' order by g.a) as h from gaps g join d on d.doc_id = g.doc_id group by g.doc_id),
+t as (select doc_id, sum(b - a) as n_removed, count(*) as n_spans from x group by doc_id)
+select d.doc_id, d.n as n_bytes, coalesce(t.n_removed, 0)::bigint as n_removed, coalesce(t.n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256
+from d left join t on t.doc_id = d.doc_id left join kept on kept.doc_id = d.doc_id""",
         "op6_url_filter": rf"""
 with p as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
 q as (select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw from p),
