@@ -127,6 +127,36 @@ def test_tokens(spark, docs, nothing):
     assert tokens.materialise_order(nothing).count() == 0
 
 
+def test_tokens_resume(spark, docs):
+    """From any slot on, the records are those of the whole, and files are entered by a seek."""
+    common.prepare(spark)
+    machine = tokens.load()
+    path = common.new_path(spark, "resume")
+    manifest = tokens.write_shards(tokens.sequences(docs, machine, length=16, shard_text=500), path, 16)
+    files = sorted(manifest.collect())
+    size, first = tokens.stride(16), 0
+    assert len(files) > 5 and [f.shard for f in files] == sorted({f.shard for f in files})
+    for f in files:
+        data = open(f.file.removeprefix("file://"), "rb").read()
+        assert f.first_slot == first and len(data) == f.n_slots * size and hashlib.sha256(data).hexdigest() == f.sha256
+        first += f.n_slots
+    whole = sorted(tuple(r) for r in tokens.read_shards(manifest, length=16, read=3).collect())
+    assert [r[0] for r in whole] == list(range(first))
+    want = {(i if i is not None else -1, t or "") for i, t in TEXTS}
+    text = {}
+    for _, _, _, doc, seq, n, ids in whole:
+        assert n * 2 == len(ids)
+        text.setdefault(doc, []).append((seq, ids))
+    for i, t in want:
+        if sum(i == x for x, _ in want) == 1 and i != 7:  # 7 is there twice
+            assert machine.decode(np.frombuffer(b"".join(x for _, x in sorted(text[i])), "<u2").tolist()) == t
+    for slot in (1, files[2].first_slot, files[2].first_slot + 1, first - 1, first):
+        assert sorted(tuple(r) for r in tokens.read_shards(manifest, slot, 16, 3).collect()) == whole[slot:]
+
+    some = tokens.read_shards(manifest, files[3].first_slot + 1, 16).select("shard").distinct().collect()
+    assert {r.shard for r in some} <= {f.shard for f in files[3:]}
+
+
 def test_sentencepiece(spark, docs, nothing):
     import public_tokenizers
 

@@ -5,9 +5,14 @@ its place in the document; a keyed Feistel permutation with cycle-walking scatte
 numbers over their whole range. Equal parts of the range are the shards, and the order in
 the permuted range is the training order: a sequence's global slot is the number of
 sequences before it. So tokens are made in one pass and shuffled once, without numbering
-them first. A shard file is an array of records of one fixed size and the manifest has the
-first slot of each, so reading is sequential, and resuming at a slot is a seek. A file is
-written under a temporary name and renamed; a task that runs again writes the same bytes.
+them first: numbers without gaps would need either every text encoded twice or all tokens
+stored once more before the shuffle.
+
+A shard file is an array of records of one fixed size. The manifest has the first slot and the
+number of records of each, so slot k of a file is at (k - first_slot) * stride: reading is
+sequential, and resuming at a slot is a seek. Files are written and read in pieces, whatever
+their size. A file is written under a temporary name and renamed; a task that runs again
+writes the same bytes.
 """
 
 from __future__ import annotations
@@ -15,20 +20,23 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, new_path
 
 #: Token ids of a sequence; the record is a header and the ids, zero-padded.
 SEQUENCE = 256
-#: Bytes of text for a shard, on average.
-SHARD_TEXT = 1 << 20
+#: Bytes of text for a shard, on average, and shards at most: beyond, shards grow.
+SHARD_TEXT, SHARDS = 1 << 20, 400_000
+#: Records that are read at a time.
+READ = 4096
 HEADER = "<qiI"  # doc_id, sequence of the document, number of ids
 KEY, ROUNDS = 0x5EED_0F_7EA1, 6
 
@@ -92,7 +100,7 @@ def sequences(docs: DataFrame, machine: tiktoken.Encoding | None = None, length:
     if scattered:  # numbers of such ids are hashes
         low, span = 0, (1 << 62) // each
     domain = span * each
-    shards = max(1, -(-(total or 0) // shard_text))
+    shards = min(SHARDS, max(1, -(-(total or 0) // shard_text)))
     width = -(-domain // shards)
     number = F.pmod(F.xxhash64(doc_id), F.lit(span)) if scattered else F.coalesce(doc_id - F.lit(low), F.lit(span - 1))
     shared = docs.sparkSession.sparkContext.broadcast(machine)
@@ -115,7 +123,7 @@ def sequences(docs: DataFrame, machine: tiktoken.Encoding | None = None, length:
 
 
 def _open(path: str):
-    """(filesystem, path in it) of a folder that all executors share."""
+    """(filesystem, path in it) of a file or folder that all executors share."""
     from pyarrow import fs
 
     if "://" not in path and not path.startswith("file:"):
@@ -124,72 +132,84 @@ def _open(path: str):
 
 
 def write_shards(placed: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
-    """Write the shard files below path; the manifest: shard, file, n_slots, sha256."""
+    """Write the shard files below path; the manifest: shard, file, first_slot, n_slots, sha256."""
     size, fits = stride(length), length
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _open(path)
-        out, held = [], None
+        store.create_dir(root, recursive=True)
+        done, shard, out, name, leaf, digest, n = [], None, None, "", "", None, 0
 
         def close() -> None:
-            shard, data = held
-            name = f"{root}/shard-{shard:08d}.bin"
-            digest = hashlib.sha256(data).hexdigest()
-            with store.open_output_stream(f"{name}.{digest[:12]}.tmp") as f:
-                f.write(bytes(data))
-            store.move(f"{name}.{digest[:12]}.tmp", name)
-            out.append((shard, name, len(data) // size, digest))
+            out.close()
+            store.move(name, f"{root}/{leaf}")
+            done.append((shard, f"{path}/{leaf}", n, digest.hexdigest()))
 
-        store.create_dir(root, recursive=True)
         for b in batches:
-            for shard, doc_id, seq, n, ids in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if n > fits:
+            records: list[bytes] = []
+            for s, doc_id, seq, k, ids in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if k > fits:
                     raise ValueError("a sequence is longer than the record")
-                if held is None or held[0] != shard:
-                    if held is not None:
+                if s != shard:
+                    if out is not None:
+                        out.write(data := b"".join(records))
+                        digest.update(data)
                         close()
-                    held = (shard, bytearray())
-                held[1].extend(struct.pack(HEADER, -1 if doc_id is None else doc_id, seq, n) + ids + bytes(2 * (fits - n)))
-        if held is not None:
+                    shard, records, digest, n = s, [], hashlib.sha256(), 0
+                    leaf = f"shard-{s:08d}.bin"
+                    name = f"{root}/{leaf}.{uuid.uuid4().hex[:12]}.tmp"  # of this attempt
+                    out = store.open_output_stream(name)
+                records.append(struct.pack(HEADER, -1 if doc_id is None else doc_id, seq, k) + ids + bytes(2 * (fits - k)))
+                n += 1
+            if out is not None:
+                out.write(data := b"".join(records))
+                digest.update(data)
+        if out is not None:
             close()
-        cols = list(zip(*out, strict=True)) or [[]] * 4
+        cols = list(zip(*done, strict=True)) or [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)], ["shard", "file", "n_slots", "sha256"])
 
     rows = placed.repartition("shard").sortWithinPartitions("shard", "place", "doc_id", "seq", "ids")
     rows = rows.select("shard", "doc_id", "seq", "n", "ids")
-    return materialise(rows.mapInArrow(write, "shard long, file string, n_slots long, sha256 string"), "manifest")
+    files = materialise(rows.mapInArrow(write, "shard long, file string, n_slots long, sha256 string"), "files")
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # SHARDS rows at most
+    return materialise(files.select("shard", "file", F.coalesce(F.sum("n_slots").over(before), F.lit(0)).alias("first_slot"), "n_slots", "sha256"), "manifest")
 
 
-def read_shards(manifest: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
-    """slot, shard, offset, doc_id, seq, n_tokens, tokens_sha256 of every record below path.
-    The number of records of each shard, a row a file, gives its first slot."""
-    size = stride(length)
-    start, first = {}, 0
-    for shard, n in sorted(manifest.select("shard", "n_slots").collect()):
-        start[shard], first = first, first + n
+def read_shards(manifest: DataFrame, from_slot: int = 0, length: int = SEQUENCE, read: int = READ) -> DataFrame:
+    """slot, shard, offset, doc_id, seq, n_tokens, ids (little-endian uint16) of the records from a
+    slot on. Files before it are not opened, and its own is entered at the slot's offset."""
+    size, head = stride(length), struct.calcsize(HEADER)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
         for b in batches:
-            for name, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                shard, rows = int(name[-12:-4]), []
-                for at in range(0, len(data), size):
-                    doc_id, seq, n = struct.unpack_from(HEADER, data, at)
-                    ids = data[at + struct.calcsize(HEADER) : at + struct.calcsize(HEADER) + 2 * n]
-                    rows.append((start[shard] + at // size, shard, at, doc_id, seq, n, hashlib.sha256(ids).hexdigest()))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string())
-                cols = list(zip(*rows, strict=True)) or [[]] * 7
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["slot", "shard", "offset", "doc_id", "seq", "n_tokens", "tokens_sha256"])
-
-    files = manifest.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path)
-    return files.select("path", "content").mapInArrow(parse, "slot long, shard long, offset long, doc_id long, seq int, n_tokens long, tokens_sha256 string")
+            for shard, name, first, at, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                store, file = _open(name)
+                with store.open_input_file(file) as f:
+                    f.seek(at * size)
+                    data = f.read(n * size)
+                rows = []
+                for k in range(n):
+                    doc_id, seq, count = struct.unpack_from(HEADER, data, k * size)
+                    rows.append((first + at + k, shard, (at + k) * size, doc_id, seq, count, data[k * size + head : k * size + head + 2 * count]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["slot", "shard", "offset", "doc_id", "seq", "n_tokens", "ids"])
+
+    at = F.greatest(F.lit(0).cast("long"), F.lit(from_slot) - F.col("first_slot"))
+    some = manifest.where(F.col("first_slot") + F.col("n_slots") > from_slot)
+    pieces = some.select("shard", "file", "first_slot", "n_slots", F.explode(F.sequence(at, F.col("n_slots") - 1, F.lit(read).cast("long"))).alias("at"))
+    pieces = pieces.select("shard", "file", "first_slot", "at", F.least(F.lit(read).cast("long"), F.col("n_slots") - F.col("at")).alias("n"))
+    return pieces.repartition(F.col("file"), F.col("at")).mapInArrow(parse, "slot long, shard long, offset long, doc_id long, seq int, n_tokens long, ids binary")
 
 
 def materialise_order(docs: DataFrame, path: str | None = None, machine: tiktoken.Encoding | None = None, key: int = KEY) -> DataFrame:
-    """Write all documents as shards in training order; one row per record, read back from
-    the files. A null doc_id is stored as -1; an empty table writes no file."""
-    spark = docs.sparkSession
-    path = path or new_path(spark, "shards")
-    manifest = write_shards(sequences(docs, machine, key=key), path)
-    if manifest.isEmpty():
-        return spark.createDataFrame([], "slot long, shard long, offset long, doc_id long, seq int, n_tokens long, tokens_sha256 string")
-    return read_shards(manifest, path)
+    """Write all documents as shards in training order; one row per record, read back from the
+    files: slot, shard, offset, doc_id, seq, n_tokens, tokens_sha256.
+
+    A null doc_id is stored as -1; a null or empty text has one record without ids. Rows of equal
+    doc_id share their numbers: ties are ordered by sequence, then by content, so equal rows are
+    interchangeable. A text of any length is cut into as many records as it needs. An empty
+    table writes no file and gives no rows. Other columns are not read."""
+    path = path or new_path(docs.sparkSession, "shards")
+    rows = read_shards(write_shards(sequences(docs, machine, key=key), path))
+    return rows.select("slot", "shard", "offset", "doc_id", "seq", "n_tokens", F.sha2("ids", 256).alias("tokens_sha256"))
