@@ -57,7 +57,7 @@ def test_vectors(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(12, 8))
     rows = [(i, (base[i % 12] + rng.normal(size=8) * rng.choice([0.0, 0.15, 0.5])).tolist(), int(i % 12 % 2)) for i in range(150)]
-    odd = [(200, None, 0), (201, [0.0] * 8, 0), (202, [float("nan")] * 8, 0), (203, [1.0, None] * 4, 0), (204, rows[0][1], None), (205, [], 0), (206, rows[0][1], 0), (206, rows[0][1], 0), (None, rows[0][1], 0), (207, [1.0, 2.0], 0)]
+    odd = [(200, None, 0), (201, [0.0] * 8, 0), (202, [float("nan")] * 8, 0), (203, [1.0, None] * 4, 0), (204, rows[0][1], None), (205, [], 0), (206, rows[0][1], 0), (206, rows[0][1], 0), (None, rows[0][1], 0), (207, [1.0, 2.0], 0), (208, [1.0, 2.0, 3.0], 0), (208, [3.0, -2.0, 1.0], 0)]
     got = {}
     for r in vectors.near_duplicates(spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, label int"), block=20).collect():
         got.setdefault(r.vec_id, []).append(tuple(r)[1:])
@@ -68,11 +68,16 @@ def test_vectors(spark):
     assert len(link) > 100
     for i, r in enumerate(fine):
         assert got[r[0]][0] == (sum(a == i for a, _ in link), root[r[0]], r[0] == root[r[0]])
-    assert got[200] == [(0, 200, True)] and got[204] == [(0, 204, True)] and got[None] == [(0, None, False)] and len(got[206]) == 2
+    assert got[200] == [(0, 200, True)] and got[204] == [(0, 204, True)] and got[None] == [(0, None, False)] and len(got[206]) == 2 and got[208] == [(0, 208, True)] * 2
     a = rng.normal(size=(40, 33))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
+    near, bound = vectors.products(vectors.quantise(a), vectors.quantise(a))
+    assert (np.abs(near - a @ a.T) <= bound).all() and bound.max() < 0.1
     for t in (-0.2, 0.1, 0.4):
-        assert not ((a @ a.T >= t) & ~vectors.candidates(vectors.quantise(a), vectors.quantise(a), t)).any()
+        found = [(i, j, s) for x in vectors.tile_pairs(vectors.quantise(a), 40, True, t) for i, j, s in zip(*(c.tolist() for c in x), strict=True)]
+        true = {(i, j) for i in range(40) for j in range(i + 1, 40) if a[i] @ a[j] >= t}
+        assert {x[:2] for x in found if x[2]} <= true <= {x[:2] for x in found} and any(not x[2] for x in found)
+    assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int, codes int, rep int, v string")).count() == 0
 
 
 def test_simhash(spark, docs, nothing, monkeypatch):
