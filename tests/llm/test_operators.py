@@ -256,7 +256,7 @@ def test_ctph(spark, docs, nothing, monkeypatch):
     assert ctph.compare_with_next(nothing).count() == 0 and ctph.compare_with_next(docs.limit(1)).count() == 1
 
 
-def test_toxicity(spark, docs, nothing):
+def test_toxicity(spark, docs, nothing, monkeypatch):
     common.prepare(spark)
     r = random.Random(5)
     plain, bad = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)], ["scumword", "idioty", "wretched"]
@@ -270,6 +270,41 @@ def test_toxicity(spark, docs, nothing):
     some = toxicity.score(docs, model, "source").collect()
     assert len(some) == len(TEXTS) and all(0 <= x.score <= 1 for x in some)
     assert toxicity.score(nothing, toxicity.fit(nothing, labels.limit(0))).count() == 0
+    # repeated rows don't multiply what is sent to the driver
+    many = spark.range(6000).selectExpr("id % 2 as doc_id", "if(id % 2 = 0, 'scumword you', 'plain word') as text")
+    two = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int")
+    assert toxicity._labelled(many, two, 20_000).count() <= 2 and 0 <= toxicity.score(many, toxicity.fit(many, two)).agg(F.max("score")).first()[0] <= 1
+    texts = spark.range(500).selectExpr("1L as doc_id", "concat('w', id) as text")
+    assert toxicity._labelled(texts, two, 30).count() == 30
+    # a word that only one fold has can't help to score that fold
+    rows = toxicity._labelled(frame, labels, 20_000)
+    only = rows.where("fold = 0 and toxic = 1").withColumn("text", F.concat("text", F.lit(" onlyhere onlyhere")))
+    lexicons = toxicity._lexicons(rows.where("not (fold = 0 and toxic = 1)").union(only))
+    assert "onlyhere" in lexicons[0] and "onlyhere" not in lexicons[1] and "onlyhere" in lexicons[2]
+    # a tree's splits against all splits
+    g = np.random.default_rng(4)
+    x = g.integers(0, 6, (80, 3)).astype(float)
+    y = ((x[:, 1] > 2) ^ (g.random(80) < 0.1)).astype(float)
+    monkeypatch.setattr(toxicity, "TREES", 1)
+    monkeypatch.setattr(toxicity, "DEPTH", 1)
+    tree = toxicity.grow(x, y)
+    p = np.full(80, y.mean())
+    gain = {}
+    for j in range(3):
+        for e in range(5):
+            left = x[:, j] <= e
+            if min(left.sum(), (~left).sum()) >= 5:
+                gain[j, e] = sum((y - p)[m].sum() ** 2 / ((p * (1 - p))[m].sum() + 1) for m in (left, ~left))
+    j, e = max(gain, key=gain.get)
+    assert tree.feature[0, 0] == j and ((x[:, j] <= tree.edge[0, 0]) == (x[:, j] <= e)).all()
+    leaf = [toxicity.RATE * (y - p)[m].sum() / ((p * (1 - p))[m].sum() + 1) for m in (x[:, j] <= e, x[:, j] > e)]
+    assert tree.value[0] == pytest.approx(leaf) and tree.raw(x) == pytest.approx(tree.base + np.where(x[:, j] <= e, *leaf))
+    raw, flags = g.normal(size=60), (g.random(60) < 0.4).astype(float)
+    at, level = toxicity.isotonic(raw, flags)
+    order = np.argsort(raw)
+    ranked = flags[order]
+    fit = [max(min(ranked[a : b + 1].mean() for b in range(k, 60)) for a in range(k + 1)) for k in range(60)]  # by the min-max formula
+    assert sorted(set(np.round(fit, 12))) == pytest.approx(np.unique(np.round(level, 12)).tolist())
     x, y = toxicity.isotonic(np.array([3.0, 1, 2, 4]), np.array([0.0, 0, 1, 1]))
     assert (np.diff(y) > 0).all() and y.tolist() == [0.0, 0.5, 1.0]
 

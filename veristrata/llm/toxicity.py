@@ -2,8 +2,10 @@
 
 Fitted on at most SAMPLE labelled rows (those with the smallest hash of doc_id): their
 words with the strongest tie to the label make the lexicon (LEXICON words at most), a
-table of dense features is sent to the driver, and the trees are grown there. All texts
-are then scored where they lie, without a shuffle.
+table of dense features is sent to the driver, and the trees are grown there. The scores that
+the calibration is fitted on come from folds: rows of a fold are scored by trees that were
+grown, with a lexicon that was learned, on the other folds only. All texts are then scored
+where they lie, without a shuffle.
 """
 
 from __future__ import annotations
@@ -49,37 +51,49 @@ def words_of(text: str) -> list[str]:
     return [w.strip(STRIP) for w in text.lower().split()]
 
 
+class Reading:
+    """What the features of a text need, whatever the lexicon."""
+
+    def __init__(self, text: str):
+        self.words = words = words_of(text)
+        n = len(words)
+        if not n:
+            return
+        odd = [w for w in words if not w.isalpha() and _ODD.search(w)]
+        self.plain = [w.translate(DISGUISE) for w in odd]
+        self.second = np.array([i for i, w in enumerate(words) if w in SECOND])
+        data = text.encode()
+        counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
+        size, letters = len(data), max(1, int(counts[_alpha].sum()))
+        self.rates = [
+            counts[_upper].sum() / letters, len(_CAPS.findall(text)) / n, counts[33] / size, counts[_punct].sum() / size,
+            counts[_digit].sum() / size, len(odd) / n, len(_RUN.findall(text)) / n, math.log1p(n),
+        ]
+
+    def features(self, lexicon: dict[str, float]) -> list[float]:
+        words, n = self.words, len(self.words)
+        if not n:
+            return [0.0] * len(FEATURES)
+        hits = [i for i, w in enumerate(words) if w in lexicon]
+        hidden = 0
+        for w in self.plain:
+            if "?" in w:
+                shape = re.compile(re.escape(w).replace(r"\?", "."))
+                hidden += any(len(x) == len(w) and shape.fullmatch(x) for x in lexicon)
+            else:
+                hidden += w in lexicon
+        near = sum(bool(np.abs(self.second - i).min() <= NEAR) for i in hits) if len(self.second) else 0
+        found = [words[i] for i in hits]
+        capitals, caps, exclaim, punctuation, digits, odd, runs, size = self.rates
+        return [
+            len(hits) / n, math.log1p(len(hits)), len(set(found)), sum(lexicon[w] for w in found) / n,
+            len(self.second) / n, near / n, capitals, caps, exclaim, punctuation, digits, odd, math.log1p(hidden), runs, size,
+        ]
+
+
 def features(text: str, lexicon: dict[str, float]) -> list[float]:
     """The dense features of a whole text; all zero for an empty one."""
-    words = words_of(text)
-    n = len(words)
-    if not n:
-        return [0.0] * len(FEATURES)
-    hits = [i for i, w in enumerate(words) if w in lexicon]
-    odd = [w for w in words if not w.isalpha() and _ODD.search(w)]
-    plain = [w.translate(DISGUISE) for w in odd]
-    hidden = 0
-    for w in plain:
-        if "?" in w:
-            shape = re.compile(re.escape(w).replace(r"\?", "."))
-            hidden += any(len(x) == len(w) and shape.fullmatch(x) for x in lexicon)
-        else:
-            hidden += w in lexicon
-    second = [i for i, w in enumerate(words) if w in SECOND]
-    near = 0
-    if hits and second:
-        s = np.array(second)
-        near = sum(bool(np.abs(s - i).min() <= NEAR) for i in hits)
-    found = [words[i] for i in hits]
-    data = text.encode()
-    counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
-    size, letters = len(data), max(1, int(counts[_alpha].sum()))
-    return [
-        len(hits) / n, math.log1p(len(hits)), len(set(found)), sum(lexicon[w] for w in found) / n,
-        len(second) / n, near / n, counts[_upper].sum() / letters, len(_CAPS.findall(text)) / n,
-        counts[33] / size, counts[_punct].sum() / size, counts[_digit].sum() / size,
-        len(odd) / n, math.log1p(hidden), len(_RUN.findall(text)) / n, math.log1p(n),
-    ]
+    return Reading(text).features(lexicon)
 
 
 @dataclass
@@ -109,6 +123,8 @@ def grow(x: np.ndarray, y: np.ndarray) -> Trees:
     code = np.stack([np.searchsorted(edges[j], x[:, j], side="left") for j in range(k)], 1)
     rate = min(max(y.mean(), 1e-4), 1 - 1e-4) if n else 0.0
     base = math.log(rate / (1 - rate)) if n else -9.0
+    if not n:
+        return Trees(base, *(np.zeros((0, 1), t) for t in (np.int64, float, float)))
     inner, leaves = 2**DEPTH - 1, 2**DEPTH
     feats, cuts, vals = [], [], []
     score = np.full(n, base)
@@ -171,48 +187,79 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from labelled rows that are not held out. Null or other labels than 0 and 1 are
-    ignored; a doc_id with several labels counts as toxic if one says so. Without rows of
-    both labels every score is the rate of toxic ones (0 without rows)."""
+def _labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """doc_id, text, toxic, fold: at most sample rows, each (doc_id, text) once, whatever is
+    repeated; which they are depends on their content only."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
-    rows = materialise(rows.select("doc_id", "text", "toxic"), "labelled")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(*order).limit(sample)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
+    rows = rows.join(F.broadcast(known), "doc_id").groupBy("doc_id", "t").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+    rows = materialise(rows, "labelled")
+    first = rows.select("doc_id", "t").orderBy(*order, "t").limit(sample)
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(FOLDS)).cast("int")
+    return materialise(rows.join(F.broadcast(first), ["doc_id", "t"]).select("doc_id", "text", "toxic", fold.alias("fold")), "sample")
+
+
+def _lexicons(rows: DataFrame) -> list[dict[str, float]]:
+    """A lexicon of all rows, and one without the rows of each fold."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            pairs = [(w, t) for text, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for w in set(words_of(text)) if w.isalpha() and len(w) < 40]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.int32())], ["w", "toxic"])
+            found = [(w, t, f) for text, t, f in zip(*(c.to_pylist() for c in b.columns), strict=True) for w in set(words_of(text)) if w.isalpha() and len(w) < 40]
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.string()), *(pa.array([p[i] for p in found], pa.int32()) for i in (1, 2))], ["w", "toxic", "fold"])
+
+    words = rows.select("text", "toxic", "fold").mapInArrow(split, "w string, toxic int, fold int")
+    per = words.groupBy("w", "fold").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
+    outside = lambda c, f: F.coalesce(F.sum(F.when(F.col("fold") != f, F.col(c))), F.lit(0))
+    per = per.groupBy("w").agg(*[outside(c, f).alias(f"{c}{f}") for f in range(-1, FOLDS) for c in "tn"])
+    per = materialise(per.toDF(*[c.replace("-1", "all") for c in per.columns]).where("tall >= 3"), "words")
+    sizes = {r["fold"]: (r["t"], r["n"]) for r in rows.groupBy("fold").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).collect()}  # FOLDS rows
+    out = []
+    for f in range(-1, FOLDS):
+        toxic, total = (sum(v[i] for k, v in sizes.items() if k != f) for i in (0, 1))
+        t, n = (F.col(f"{c}{'all' if f < 0 else f}") for c in "tn")
+        odds = F.log((t + 0.5) / (toxic + 1.0)) - F.log((n - t + 0.5) / (total - toxic + 1.0))
+        top = per.where(t >= 3).withColumn("odds", odds).where(F.col("odds") >= math.log(4))
+        top = top.select("w", "odds", (F.col("odds") * F.sqrt(t)).alias("rank")).orderBy(F.desc("rank"), "w").limit(LEXICON).collect()
+        out.append({r["w"]: float(r["odds"]) for r in top})
+    return out
+
 
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """Learn from labelled rows that are not held out. Null or other labels than 0 and 1 are
+    ignored; a doc_id with several labels counts as toxic if one says so; null texts are empty;
+    repeated rows count once. Without rows of both labels every score is the rate of toxic
+    ones (0 without rows)."""
+    rows = _labelled(docs, labels, sample)
     total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < toxic < total:
         rate = toxic / total if total else 0.0
         empty = np.zeros((TREES, 0))
         return Model({}, Trees(0.0, empty[:0], empty[:0], empty[:0]), (np.array([0.0]), np.array([rate])))
-    per = rows.select("text", F.col("toxic").cast("int")).mapInArrow(split, "w string, toxic int").groupBy("w").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
-    odds = F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("n") - F.col("t") + 0.5) / (total - toxic + 1.0))
-    per = per.where("t >= 3").withColumn("odds", odds).where(F.col("odds") >= math.log(4))
-    top = per.orderBy(F.desc(F.col("odds") * F.sqrt("t")), "w").limit(LEXICON).collect()
-    lexicon = {r["w"]: float(r["odds"]) for r in top}
+    lexicons = _lexicons(rows)
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [features(t, lexicon) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64())), b.column(2)], ["doc_id", "x", "y"])
+            x = [[v for lexicon in lexicons for v in r.features(lexicon)] for r in map(Reading, b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64())), b.column(2), b.column(3)], ["doc_id", "x", "y", "fold"])
 
-    got = rows.select("doc_id", "text", F.col("toxic").cast("int")).mapInArrow(table, "doc_id long, x array<double>, y int").toArrow().to_pylist()
+    got = rows.select("doc_id", "text", "toxic", "fold").mapInArrow(table, "doc_id long, x array<double>, y int, fold int").toArrow().to_pylist()
     got.sort(key=lambda r: (r["doc_id"], r["x"]))
-    x, y = np.array([r["x"] for r in got]), np.array([r["y"] for r in got], float)
-    fold = np.arange(len(y)) % FOLDS
+    x = np.array([r["x"] for r in got]).reshape(len(got), len(lexicons), -1)
+    y, fold = np.array([r["y"] for r in got], float), np.array([r["fold"] for r in got])
     raw = np.zeros(len(y))
     for i in range(FOLDS):
-        raw[fold == i] = grow(x[fold != i], y[fold != i]).raw(x[fold == i])
-    return Model(lexicon, grow(x, y), isotonic(raw, y))
+        if (fold == i).any():
+            raw[fold == i] = grow(x[fold != i, i + 1], y[fold != i]).raw(x[fold == i, i + 1])
+    return Model(lexicons[0], grow(x[:, 0], y), isotonic(raw, y))
 
 
 def score(docs: DataFrame, model: Model, *carry: str) -> DataFrame:
-    """doc_id, the carried columns, score and predicted of every row; null texts are empty."""
+    """doc_id, the carried columns, score and predicted of every row. Null texts are empty, and
+    an empty text has the score that its features, all zero, get; equal texts have equal scores;
+    a text of any length is read whole; an empty table gives no rows. A carried column must not be
+    named doc_id, score or predicted: put it into a struct."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     k = 1 + len(carry)
 
