@@ -183,9 +183,9 @@ def test_sentencepiece(spark, docs, nothing):
         wfst.Transducer(b"\x1a\x04\x12\x02ab")
 
 
-@pytest.mark.parametrize("hot", [1000, 1])
+@pytest.mark.parametrize("hot, group", [(1000, 1000), (1, 1000), (1000, 2), (1000, 4)])
 @pytest.mark.parametrize("ids", [[1, 1, 7, None], []])
-def test_lm_score(spark, docs, nothing, monkeypatch, hot, ids):
+def test_lm_score(spark, docs, nothing, monkeypatch, hot, group, ids):
     monkeypatch.setattr(lm_score, "HOT", hot)
     target = spark.createDataFrame([(i,) for i in ids], "doc_id long")
     texts = [(i, (t or "").encode().lower().split()) for i, t in TEXTS]
@@ -199,7 +199,7 @@ def test_lm_score(spark, docs, nothing, monkeypatch, hot, ids):
 
     def loss(i, w, m):
         scale, out = (1.0 if m or not n[1] else n[1] / n[0]), []
-        own, twos = (Counter(w), Counter(zip([None, *w], w))) if m and i in ids and i is not None else ({}, {})
+        own, twos = (Counter(w), Counter(zip([None, *w], w))) if not m or i in ids and i is not None else ({}, {})
         for u, v in zip([None, *w], w):
             p = ((words[m][v] - own.get(v, 0)) * scale + lm_score.UNSEEN) / (n[m] * scale + lm_score.UNSEEN * (n[1] or n[0]))
             before = starts[m][None] - bool(own) if u is None else words[m][u] - own.get(u, 0)
@@ -207,7 +207,7 @@ def test_lm_score(spark, docs, nothing, monkeypatch, hot, ids):
         return sum(out) / len(out)
 
     want = [(i, len(w), *((a := loss(i, w, 1), b := loss(i, w, 0), b - a) if w else (None, None, 0.0))) for i, w in texts]
-    rows = lm_score.score(docs, target, block=300, bucket=50).collect()
+    rows = lm_score.score(docs, target, block=300, bucket=50, group=group).collect()
     by = lambda r: (r[0] is None, r[0] or 0)
     assert len(rows) == len(want)
     for r, x in zip(sorted(rows, key=by), sorted(want, key=by), strict=True):
@@ -243,17 +243,77 @@ def test_ctph(spark, docs, nothing, monkeypatch):
     near = ctph.likeness(ctph.fingerprint(a.encode()), ctph.fingerprint(ctph.edit(a, b).encode()))
     assert near > 0.5 and ctph.likeness(ctph.fingerprint(a.encode()), ctph.fingerprint(b.encode())) < 0.1
     assert ctph._common("abcbdab", "bdcaba") == 4 and ctph.likeness("3:ab:c", "12:ab:c") == 0.0
+    rows = TEXTS + [(7, "word")] * 9 + [(11, f"text {i} of one id") for i in range(7)] + [(None, f"another without an id {i}") for i in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    digest = {(x.t or ""): x.h for x in frame.select(F.col("text").alias("t"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    ordered = sorted(((i if i is not None else -(10**9), t or "") for i, t in rows), key=lambda x: (-x[0], digest[x[1]]))
+    want = []
+    for (i, t), (_, nxt) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
+        e = (t[: len(t) - len(t) // 3] + nxt[: len(t) // 3]).encode()
+        f, g, h = (naive_fingerprint(x) for x in (t.encode(), e, nxt.encode()))
+        want.append((i if i > -(10**9) else None, len(t), hashlib.sha256(e).hexdigest(), f, g, naive_likeness(f, g), naive_likeness(f, h)))
     for per in (1000, 2):
         monkeypatch.setattr(ctph, "PER_BUCKET", per)
-        got = [tuple(x) for x in ctph.compare_with_next(docs).collect()]
-        ordered = sorted(((i if i is not None else -(10**9), t or "") for i, t in TEXTS), key=lambda x: (-x[0], x[1]))
-        want = []
-        for (i, t), (_, nxt) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
-            e = ctph.edit(t, nxt).encode()
-            f, g, h = (ctph.fingerprint(x) for x in (t.encode(), e, nxt.encode()))
-            want.append((i if i > -(10**9) else None, len(t), hashlib.sha256(e).hexdigest(), f, g, ctph.likeness(f, g), ctph.likeness(f, h)))
+        got = [tuple(x) for x in ctph.compare_with_next(frame.repartition(1 + per % 7)).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     assert ctph.compare_with_next(nothing).count() == 0 and ctph.compare_with_next(docs.limit(1)).count() == 1
+    for data in (b"x", b"ab" * 400, a.encode(), bytes(range(256)) * 9, r.randbytes(5000), b"\0" * 700):
+        assert ctph.fingerprint(data) == naive_fingerprint(data)
+    k, t = np.array([5, 5, -3, ctph.NO_ID, 2**62]), np.array([1, -1, 7, 0, 3])
+    assert np.argsort(ctph._keys(k, t)).tolist() == [4, 1, 0, 2, 3]
+
+
+def naive_fingerprint(data: bytes) -> str:
+    """Byte by byte, with a window that rolls."""
+    size = 3
+    while size * 64 < len(data):
+        size *= 2
+    if not data:
+        return f"{size}::"
+    while True:
+        out = []
+        for block in (size, 2 * size):
+            window, total, weighted, shifted, start, sign = [0] * 7, 0, 0, 0, 0, ""
+            ends = 0
+            for at, c in enumerate(data):
+                weighted = (weighted - total + 7 * c) % 2**32
+                total += c - window[at % 7]
+                window[at % 7] = c
+                shifted = 0
+                for j in range(7):
+                    shifted ^= (window[(at - j) % 7] << 5 * j) % 2**32
+                if (total + weighted + shifted + 1) % 2**32 % block == 0:
+                    ends += 1
+                    if len(sign) < 63:
+                        sign += ctph.ALPHABET[xxhash.xxh32(data[start : at + 1]).intdigest() & 63]
+                        start = at + 1
+            if start < len(data):
+                sign += ctph.ALPHABET[xxhash.xxh32(data[start:]).intdigest() & 63]
+            out.append((ends, sign))
+        if out[0][0] + 1 >= 32 or size == 3:
+            return f"{size}:{out[0][1]}:{out[1][1]}"
+        size //= 2
+
+
+def naive_likeness(x: str, y: str) -> float:
+    def edits(a, b):  # insertions and deletions, by the table
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, d in enumerate(b, 1):
+                last, row[j] = row[j], last if c == d else 1 + min(row[j], row[j - 1])
+        return row[-1]
+
+    def score(a, b):
+        if not a or not b or min(len(a), len(b)) >= 7 and not any(a[i : i + 7] in b for i in range(len(a) - 6)):
+            return 0.0
+        return (len(a) + len(b) - edits(a, b)) / (len(a) + len(b))
+
+    if x == y:
+        return 1.0
+    (m, a, b), (n, c, d) = x.split(":"), y.split(":")
+    found = [score(p, q) for k, p in ((int(m), a), (2 * int(m), b)) for h, q in ((int(n), c), (2 * int(n), d)) if k == h]
+    return max(found, default=0.0)
 
 
 def test_toxicity(spark, docs, nothing, monkeypatch):

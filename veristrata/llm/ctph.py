@@ -4,7 +4,8 @@ A 32-bit rolling hash of the last 7 bytes ends a chunk where it is one less than
 of the block size; a chunk gives one of 64 signature characters. A fingerprint has the
 signatures at a block size and at its double, so texts of up to four times each other's
 length still share one. Likeness is 1 - (insertions + deletions) / (both lengths), over
-signatures at equal block sizes, and 0 unless they share 7 characters in a row.
+signatures at equal block sizes, and 0 unless they share 7 characters in a row; signatures of
+fewer than 7 are too short for that test and are compared without it.
 """
 
 from __future__ import annotations
@@ -13,16 +14,20 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 # The base64 alphabet, the rolling window, and the smallest block size.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 WINDOW, SMALLEST, LENGTH = 7, 3, 64
-#: Documents of a range bucket, and buckets at most.
-PER_BUCKET, BUCKETS, GROUP = 1000, 4096, 64
+#: Documents of a range bucket, and buckets at most (a first key of 16 bytes each is sent to
+#: the driver and the tasks): beyond, buckets grow.
+PER_BUCKET, BUCKETS = 1000, 500_000
 NO_ID = -(1 << 63)
 
 
@@ -114,7 +119,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for bucket, guest, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if guest and (held is None or held[0] != bucket):
-                continue  # a second guest of a bucket
+                continue  # nothing here comes before it
             if last is None or last[0] != text:
                 data = text.encode()
                 last = (text, fingerprint(data))
@@ -128,46 +133,64 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
 
 
+def _keys(k: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """16 bytes whose order is descending k, then ascending t."""
+    sign = np.uint64(1 << 63)
+    both = np.stack([~(k.astype(np.int64).view(np.uint64) ^ sign), t.astype(np.int64).view(np.uint64) ^ sign], 1)
+    return np.frombuffer(both.astype(">u8").tobytes(), "S16")
+
+
+def _bucket_of(firsts: np.ndarray):
+    """Bucket of a row; rows that are the first of several buckets are spread over these."""
+
+    @F.pandas_udf("long")
+    def bucket(k: pd.Series, t: pd.Series, any_: pd.Series) -> pd.Series:
+        keys = _keys(k.to_numpy(), t.to_numpy())
+        low, high = (np.searchsorted(firsts, keys, side) for side in ("left", "right"))
+        same = np.maximum(high - low, 1)
+        return pd.Series(high - 1 - np.where(high - low > 1, any_.to_numpy() % same, 0))
+
+    return bucket
+
+
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how near they are.
 
     The next document is the one that follows in descending doc_id, and the first after the
-    last; equal ids follow each other by text, rows without an id come last. A null text
-    counts as empty; a single row is followed by itself; an empty table gives no rows. Rows
-    are dealt by ranges of doc_id, so each text is shuffled once; the first row of a range
-    also goes to the range that it follows.
+    last; rows of equal ids follow each other by a hash of the text, rows without an id come
+    last, and equal rows are interchangeable. A null text counts as empty; a text of any
+    length is read whole; a single row is followed by itself; an empty table gives no rows.
+    Other columns are not read, so their names never clash.
+
+    Rows are dealt to buckets of neighbours in that order, so each text is shuffled once; the
+    first text of a bucket also goes to the bucket before it. Keys alone are ordered first, and
+    every so-many-th begins a bucket: one id, rows without an id, or copies of one row fill
+    as many buckets as they need.
     """
     spark: SparkSession = docs.sparkSession
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), key.alias("k"))
-    n = rows.count()
-    m = min(BUCKETS, max(1, n // PER_BUCKET))
-    shares = [i / m for i in range(1, m)]
-    bounds = rows.agg(F.percentile_approx("k", shares, 100_000)).first()[0] if n and shares else []
-    bounds = sorted(set(bounds))
-    groups = [bounds[i : i + GROUP] for i in range(0, len(bounds), GROUP)]
-    lit = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
-    below = lambda arr: F.size(F.filter(arr, lambda b: b < F.col("k")))
-    bucket = F.lit(0)
-    if groups:
-        rows = rows.withColumn("g", below(lit([g[-1] for g in groups])))
-        fine = F.element_at(F.array(*[lit(g) for g in groups], lit([])), F.col("g") + 1)
-        bucket = F.col("g") * GROUP + below(fine)
-    rows = rows.withColumn("bucket", bucket)
-    heads = sorted(rows.groupBy("bucket").agg(F.max("k")).collect())  # one row a bucket
-    if heads:
-        ups = [b for b, _ in heads[1:]] + [heads[0][0]]
-        size = heads[-1][0] + 1
-        first, to = [0] * size, [-1] * size
-        for (b, k), up in zip(heads, ups, strict=True):
-            first[b], to[b] = k, up
-        at = lambda xs: F.element_at(lit(xs), F.col("bucket") + 1)
-        own = F.struct(F.col("bucket").cast("long").alias("bucket"), F.lit(0).alias("guest"))
-        also = F.struct(at(to).alias("bucket"), F.lit(1).alias("guest"))
-        rows = rows.withColumn("to", F.explode(F.when(F.col("k") == at(first), F.array(own, also)).otherwise(F.array(own))))
-    else:
-        rows = rows.withColumn("to", F.struct(F.lit(0).cast("long").alias("bucket"), F.lit(0).alias("guest")))
-    rows = rows.select("to.bucket", "to.guest", "doc_id", "text", "k")
-    rows = rows.repartition("bucket").sortWithinPartitions("bucket", "guest", F.col("k").desc(), "text")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), key.alias("k"), F.xxhash64(text).alias("t"))
+    order = [F.col("k").desc(), F.col("t")]
+    keys = rows.select("k", "t").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    keys = materialise(keys.select("k", "t", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("place")), "keys")
+    parts = keys.groupBy("part").agg(F.count("*").alias("n"))  # a row a partition
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    per = max(PER_BUCKET, -(-keys.count() // BUCKETS))
+    firsts = keys.join(parts, "part").where((F.col("before") + F.col("place")) % per == 0).select("k", "t").toPandas()
+    firsts = np.sort(_keys(firsts["k"].to_numpy(), firsts["t"].to_numpy()))
+    of = _bucket_of(firsts)
+    any_ = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 1)
+    rows = rows.withColumn("bucket", of("k", "t", any_))
+    heads = rows.groupBy("bucket").agg(F.min(F.struct(F.bitwise_not("k").alias("k"), "t")).alias("h"))  # not k: descending
+    heads = materialise(heads.select("bucket", F.bitwise_not("h.k").alias("k"), F.col("h.t").alias("t")), "heads")
+    ring = Window.orderBy("bucket")  # BUCKETS rows at most
+    to = F.coalesce(F.lag("bucket").over(ring), F.max("bucket").over(Window.partitionBy()))
+    guests = heads.select(to.alias("bucket"), "k", "t")
+    texts = rows.select("k", "t", "text").join(heads.select("k", "t").distinct(), ["k", "t"], "left_semi").groupBy("k", "t").agg(F.min("text").alias("text"))
+    guests = guests.join(texts, ["k", "t"]).select("bucket", F.lit(1).alias("guest"), F.lit(None).cast("long").alias("doc_id"), "text", "k", "t")
+    rows = rows.select("bucket", F.lit(0).alias("guest"), "doc_id", "text", "k", "t").union(guests)
+    rows = rows.repartition("bucket").sortWithinPartitions("bucket", "guest", *order)
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return rows.select("bucket", "guest", "doc_id", "text").mapInArrow(_compare, schema)

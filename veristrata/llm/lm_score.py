@@ -5,17 +5,21 @@ what is counted grows with the corpus and no two counts share a slot (keys are 4
 hashes). No task or driver holds a model:
 
 1. Documents are dealt to blocks of about BLOCK bytes of text.
-2. A block sends its distinct keys with their counts, cut by key range, to the buckets.
-3. A bucket adds them up and answers each block with the sums of its keys, in their order.
-4. A block scores its documents with the answers.
-
-A key that is everywhere is one entry a block, whatever its count. The text is shuffled once.
-
-The background's counts are scaled to the mass of the target, so both models are smoothed
-alike: words towards equal shares, bigrams towards words. A document's own counts are left
-out of the target, so the target's documents are scored as any other. The score of a document
-is its mean loss per token under the background less that under the target: the higher, the
-more like the target.
+2. A block sends its distinct keys with their counts, cut by key range, to the nodes of its
+   group of GROUP blocks.
+3. A node adds them up. While there is more than one group, nodes ask on as blocks did, and
+   their groups are GROUP times as large; the last nodes have the sums of the corpus.
+4. Sums go back the way the keys came, in their order, and a block scores its documents.
+
+So a key that is everywhere is an entry for each of GROUP senders at most, whatever its count,
+a node gets about 2 * BUCKET entries at most, and a sender of a level writes to as many nodes
+as its own group has. The text is shuffled once.
+
+The models are matched: the background's counts are scaled to the mass of the target, both
+are smoothed alike, words towards equal shares and bigrams towards words, and a document's own
+counts are left out of both, so it is scored by what others have in common with it. The score
+of a document is its mean loss per token under the background less that under the target:
+the higher, the more like the target.
 """
 
 from __future__ import annotations
@@ -31,9 +35,10 @@ from pyspark.sql import functions as F
 
 from .common import discard, give_back, materialise, utf8, word_count
 
-#: Bytes of text in a block, tokens in a bucket: they bound a task's memory. Rows between them
-#: grow as (text / BLOCK) * (tokens / BUCKET), so far larger corpora want both raised.
-BLOCK, BUCKET = 5_000_000, 1_000_000
+#: Bytes of text in a block, tokens for a node, senders of a node: they bound a task's memory.
+BLOCK, BUCKET, GROUP = 5_000_000, 1_000_000, 1000
+#: Partitions of the blocks at most; a task reads one block after the other.
+PARTITIONS = 20_000
 #: Words' share of a context (Dirichlet prior), and what every word has beside its count.
 PRIOR, UNSEEN = 1000.0, 0.5
 #: Rows that are equal in id and text beyond this number are dealt one by one.
@@ -137,37 +142,80 @@ def _edges(buckets: int) -> np.ndarray:
     return np.array([((1 << 8 * WIDTH) * i) // buckets for i in range(1, buckets)], np.uint64)
 
 
-def _ask(buckets: int):
+def _send(sender: int, group: int, buckets: int, keys: np.ndarray, sums) -> pa.RecordBatch:
+    """Rows (node, sender, slot, keys, every, target): keys and counts, cut by key range, to the
+    nodes of a group."""
+    cuts = np.r_[0, np.searchsorted(keys, _edges(buckets)), len(keys)].tolist()
+    spans = [(n, i, j) for n, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if i < j]
+    cols = [[group * buckets + n for n, _, _ in spans], [sender] * len(spans), [n for n, _, _ in spans], *([pack(x[i:j], w) for _, i, j in spans] for x, w in ((keys, WIDTH), *((s, 8) for s in sums)))]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (*[pa.int64()] * 3, *[pa.binary()] * 3), strict=True)], ["node", "sender", "slot", "keys", "every", "target"])
+
+
+ASKED = "node long, sender long, slot long, keys binary, every binary, target binary"
+ANSWERS = "sender long, slot long, every binary, target binary"
+
+
+def _ask(buckets: int, group: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = _edges(buckets)
         for rows in _by_block(batches):
             _, sizes, target, words, pairs = _gather(rows)
             keys, inverse, many = np.unique(np.concatenate([words, pairs]), return_inverse=True, return_counts=True)
-            aim = np.bincount(inverse, np.tile(np.repeat(target, sizes), 2), len(keys)).astype(np.uint64)
-            cuts = np.r_[0, np.searchsorted(keys, edges), len(keys)].tolist()
-            spans = [(n, i, j) for n, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if i < j]
-            cols = [[n for n, _, _ in spans], [rows.column(0)[0].as_py()] * len(spans), *([pack(x[i:j], w) for _, i, j in spans] for x, w in ((keys, WIDTH), (many, 4), (aim, 4)))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), *[pa.binary()] * 3), strict=True)], ["bucket", "block", "keys", "every", "target"])
+            aim = np.bincount(inverse, np.tile(np.repeat(target, sizes), 2), len(keys))
+            block = rows.column(0)[0].as_py()
+            yield _send(block, block // group, buckets, keys, (many, aim))
+        give_back()
+
+    return run
+
+
+def _add(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distinct keys that a node was asked for, their sums, the place of each entry's key, and where senders' entries end."""
+    asked = [unpack(x.as_py(), WIDTH) for x in rows.column("keys")]
+    keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+    sums = [np.zeros(len(keys), np.uint64) for _ in range(2)]
+    for s, name in zip(sums, ("every", "target"), strict=True):
+        np.add.at(s, inverse, np.concatenate([unpack(x.as_py(), 8) for x in rows.column(name)]))
+    return keys, sums, inverse, np.cumsum([len(x) for x in asked])[:-1]
+
+
+def _reply(rows: pa.Table, sums, inverse, cuts) -> Iterator[pa.RecordBatch]:
+    back = [np.split(s[inverse], cuts) for s in sums]
+    for i in range(0, len(rows), 256):
+        cols = [rows.column(c).slice(i, 256).combine_chunks() for c in ("sender", "slot")]
+        yield pa.RecordBatch.from_arrays([*cols, *(pa.array([pack(x, 8) for x in b[i : i + 256]], pa.binary()) for b in back)], ["sender", "slot", "every", "target"])
+
+
+def _ask_on(below: int, buckets: int, group: int):
+    """Nodes of a level with so many buckets a group ask those of the next."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_block(batches):  # the rows of one node, here
+            keys, sums, _, _ = _add(rows)
+            node = rows.column(0)[0].as_py()
+            yield _send(node, node // below // group, buckets, keys, sums)
         give_back()
 
     return run
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in _by_block(batches):  # blocks of rows of one bucket, here
-        asked = [unpack(x.as_py(), WIDTH) for x in rows.column("keys")]
-        keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
-        sums = [np.zeros(len(keys), np.uint64) for _ in range(2)]
-        for s, name in zip(sums, ("every", "target"), strict=True):
-            np.add.at(s, inverse, np.concatenate([unpack(x.as_py(), 4) for x in rows.column(name)]))
-        cuts = np.cumsum([len(x) for x in asked])[:-1]
-        back = [np.split(s[inverse], cuts) for s in sums]
-        for i in range(0, len(asked), 256):
-            cols = [rows.column(c).slice(i, 256).combine_chunks() for c in ("block", "bucket")]
-            yield pa.RecordBatch.from_arrays([*cols, *(pa.array([pack(x, 8) for x in b[i : i + 256]], pa.binary()) for b in back)], ["block", "bucket", "every", "target"])
+    for rows in _by_block(batches):
+        _, sums, inverse, cuts = _add(rows)
+        yield from _reply(rows, sums, inverse, cuts)
     give_back()
 
 
+def _sums(answers: pa.Table) -> list[np.ndarray]:
+    """What was answered to a sender, in the order of its keys."""
+    answers = answers.sort_by("slot")
+    return [np.concatenate([np.zeros(0, np.uint64), *(unpack(x.as_py(), 8) for x in answers.column(c))]) for c in ("every", "target")]
+
+
+def _pass_on(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    _, _, inverse, cuts = _add(rows)
+    return pa.Table.from_batches(_reply(rows, _sums(answers), inverse, cuts))
+
+
 def _finish(totals: Totals):
     names = ["doc_id", "n_tokens", "loss_target", "loss_background", "score"]
 
@@ -175,15 +223,15 @@ def _finish(totals: Totals):
         at, sizes, target, words, pairs = _gather(rows)
         n, both = len(words), np.concatenate([words, pairs])
         keys, inverse = np.unique(both, return_inverse=True)
-        answers = answers.sort_by("bucket")
-        sums = [np.concatenate([np.zeros(0, np.uint64), *(unpack(x.as_py(), 8) for x in answers.column(c))]).astype(float)[inverse] for c in ("every", "target")]
-        own = np.nonzero(np.tile(np.repeat(target, sizes), 2))[0]
-        in_doc = np.tile(np.repeat(np.arange(len(sizes)), sizes), 2)[own] * len(keys) + inverse[own]
+        sums = [x.astype(float)[inverse] for x in _sums(answers)]
+        in_doc = np.tile(np.repeat(np.arange(len(sizes)), sizes), 2) * len(keys) + inverse
         _, back, many = np.unique(in_doc, return_inverse=True, return_counts=True)
-        sums[1][own] -= many[back]
+        own = many[back]
+        sums[0] -= own
+        sums[1] -= own * np.tile(np.repeat(target, sizes), 2)
         begin = np.cumsum(sizes) - sizes
         before = []
-        for s, first in zip(sums, (totals.texts, totals.target_texts - target[sizes > 0]), strict=True):
+        for s, first in zip(sums, (totals.texts - 1, totals.target_texts - target[sizes > 0]), strict=True):
             c = np.r_[0.0, s[: n - 1]] if n else np.zeros(0)
             c[begin[sizes > 0]] = first
             before.append(c)
@@ -198,13 +246,13 @@ def _finish(totals: Totals):
     return run
 
 
-def score(docs: DataFrame, target: DataFrame, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
+def score(docs: DataFrame, target: DataFrame, block: int = BLOCK, bucket: int = BUCKET, group: int = GROUP) -> DataFrame:
     """doc_id, n_tokens, loss_target, loss_background, score of every row of docs.
 
     target: doc_id of the target's documents; the background is all of docs. A text without
     words (null, empty, blank) has 0 tokens, null losses and score 0. Without target
-    documents every word is as likely in the target. Repeated rows count and are scored each,
-    their copies staying in the target. Other columns are not read. An empty table gives no rows.
+    documents every word is as likely in the target. Repeated rows count and are scored each, and
+    only a row's own counts are left out: its copies stay in both models. Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
     text = utf8(F.col("text"))
@@ -216,7 +264,7 @@ def score(docs: DataFrame, target: DataFrame, block: int = BLOCK, bucket: int =
     zero = F.lit(0).cast("long")
     size, *sums = sizes.agg(*[F.coalesce(F.sum(c), zero) for c in (F.col("size"), F.col("n"), some, F.col("n") * F.col("t"), some * F.col("t"))]).first()
     totals = Totals(*sums)
-    blocks, buckets = max(1, -(-size // block)), max(1, -(-totals.tokens // bucket))
+    blocks = max(1, -(-size // block))
 
     copies = materialise(sizes.groupBy("k").agg(F.count("*").alias("copies"), F.max("t").alias("t")).where((F.col("copies") > HOT) | (F.col("t") == 1)), "marks")
     hot = copies.where(F.col("copies") > HOT).select("k", F.lit(True).alias("hot"))
@@ -230,10 +278,20 @@ def score(docs: DataFrame, target: DataFrame, block: int = BLOCK, bucket: int =
         marks = marks.union(every)
     dealt = dealt.select("block", "doc_id", "k", "text", F.lit(False).alias("mark"))
     dealt = dealt.union(marks.select("block", F.lit(None).cast("long"), "k", F.lit(None).cast("binary"), F.lit(True)))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks // 2))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(PARTITIONS, -(-blocks // 2)))
     dealt = dealt.repartition(parts, "block")
-    asked = dealt.sortWithinPartitions("block").mapInArrow(_ask(buckets), "bucket long, block long, keys binary, every binary, target binary")
-    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answer, "block long, bucket long, every binary, target binary")
-    answers = answers.repartition(parts, "block")
+    groups, tokens = -(-blocks // group), -(-totals.tokens * min(blocks, group) // blocks)
+    buckets = max(1, -(-tokens // bucket))
+    asked = dealt.sortWithinPartitions("block").mapInArrow(_ask(buckets, group), ASKED)
+    levels = []
+    while groups > 1:
+        levels.append(materialise(asked, "asked"))
+        below, tokens = buckets, min(totals.tokens, tokens * group)
+        groups, buckets = -(-groups // group), max(1, -(-tokens // bucket))
+        asked = levels[-1].repartition("node").sortWithinPartitions("node").mapInArrow(_ask_on(below, buckets, group), ASKED)
+    answers = asked.repartition("node").sortWithinPartitions("node").mapInArrow(_answer, ANSWERS)
+    for level in reversed(levels):
+        answers = level.groupBy("node").cogroup(answers.groupBy("sender")).applyInArrow(_pass_on, ANSWERS)
+    answers = answers.repartition(parts, "sender")
     discard(sizes)
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finish(totals), "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
+    return dealt.groupBy("block").cogroup(answers.groupBy("sender")).applyInArrow(_finish(totals), "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
