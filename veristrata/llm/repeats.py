@@ -11,8 +11,8 @@ with a smaller doc_id, or earlier in the same one.
    class, its occurrences after the first repeat as a whole.
 3. Classes that share their gram with others are dealt to shards by gram. Those that agree
    with none of them on enough bytes beside the gram are left out; the text of the others
-   is suffix-sorted by external induction (``induced``), and runs of neighbours with a common
-   prefix of LENGTH are equal windows. The earliest of a run stays.
+   is suffix-sorted by external induction (``induced``), which gives the common prefixes of
+   neighbours as well: runs of at least LENGTH are equal windows. The earliest of a run stays.
    A gram whose classes exceed a shard is split exactly: windows that hold the gram at offsets
    lo to hi share the lo bytes before it and WINDOWS - 1 - hi after it, so its classes are
    dealt anew by these bytes, for either half of the offsets, until a group fits a shard or
@@ -33,10 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, give_back, materialise, utf8
-from .induced import IN_MEMORY, allocate, suffix_array
+from .induced import CAP, IN_MEMORY, allocate, pieces, suffix_array
 
 LENGTH, GRAM = 100, 16
 WINDOWS = LENGTH - GRAM + 1
+assert LENGTH <= CAP
 #: Bytes of the classes in a shard, on average; a group of classes is split beyond this.
 SHARD = 1_500_000
 RUNS = "array<struct<a:int,b:int>>"
@@ -131,46 +132,45 @@ def may_repeat(bodies: list[bytes], place: np.ndarray, grams: np.ndarray) -> np.
 
 def repeated_windows(bodies: list[bytes], sizes: np.ndarray, key: np.ndarray, at: np.ndarray, limit: int = IN_MEMORY):
     """(body, window) of every window that also starts earlier; window k of body i starts at
-    (key[i], at[i] + k). By the suffix array of all bodies."""
-    lengths = np.array([len(x) + 1 for x in bodies], np.int64)
-    start = np.r_[0, lengths.cumsum()]
+    (key[i], at[i] + k). By the suffix array of all bodies and its common prefixes: windows are
+    equal if no prefix between them is shorter than LENGTH."""
+    start = np.r_[0, np.array([len(x) + 1 for x in bodies], np.int64).cumsum()]
     total = int(start[-1]) + 1
-    raw = allocate(total + 8, np.uint8, 2 * limit)
-    raw[total - 1 :] = 0
-    text = allocate(total, np.int32, limit)
+    text = allocate(total, np.uint16, limit)
     for i, x in enumerate(bodies):
-        raw[start[i] : start[i + 1] - 1] = np.frombuffer(x, np.uint8)
-        raw[start[i + 1] - 1] = 0
-    text[:] = raw[:total]
-    text += 2
-    text[start[1:] - 1] = 1
+        text[start[i] : start[i + 1] - 1] = np.frombuffer(x, np.uint8)
+        text[start[i] : start[i + 1] - 1] += 2
+        text[start[i + 1] - 1] = 1
     text[-1] = 0
-    order = suffix_array(text, limit)
-    owner = np.full(total, -1, np.int32)
-    for i, k in enumerate(sizes.tolist()):
-        owner[start[i] : start[i] + k] = i
-    order = np.asarray(order[owner[order] >= 0], np.int64)
-    word = np.ndarray((total,), "<u8", raw, 0, (1,))
-    a, b = order[:-1], order[1:]
-    same = np.ones(len(a), bool)
-    live = np.arange(len(a))
-    for k in [*range(0, LENGTH - 7, 8), LENGTH - 8]:  # common prefixes, as far as LENGTH
-        ok = word[a[live] + k] == word[b[live] + k]
-        same[live[~ok]] = False
-        live = live[ok]
-    group = np.r_[0, np.cumsum(~same)] if len(order) else order
-    many = np.bincount(group, minlength=1)[group] > 1 if len(order) else np.zeros(0, bool)
-    order, group = order[many], group[many]
-    who = owner[order].astype(np.int64)
-    window = order - start[who]
-    by = np.lexsort((at[who] + window, key[who], group))
-    if not len(by):
-        return who, window
-    who, window, group = who[by], window[by], group[by]
-    new = np.r_[True, group[1:] != group[:-1]]
-    first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-    later = (key[who] != key[who[first]]) | (at[who] + window != at[who[first]] + window[first])  # a class may be here twice
-    return who[later], window[later]
+    order, prefix = suffix_array(text, limit)
+    del text
+    sizes, found, held, group = np.r_[sizes, 0], [], np.zeros((3, 0), np.int64), 0
+
+    def later(rows: np.ndarray) -> np.ndarray:
+        """Of the rows (group, body, window) those that are not their group's first."""
+        same = np.r_[False, rows[0, 1:] == rows[0, :-1], False]
+        rows = rows[:, (same[1:] | same[:-1])[: rows.shape[1]]]
+        group, who, window = rows[:, np.lexsort((at[rows[1]] + rows[2], key[rows[1]], rows[0]))]
+        if not len(group):
+            return rows[1:]
+        new = np.r_[True, group[1:] != group[:-1]]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        more = (key[who] != key[who[first]]) | (at[who] + window != at[who[first]] + window[first])  # a class may be here twice
+        return np.stack([who[more], window[more]])
+
+    for s in pieces(total, limit):
+        x = np.asarray(order[s]).astype(np.int64)
+        groups = group + np.cumsum(prefix[s] < LENGTH)
+        group = int(groups[-1])
+        who = np.searchsorted(start, x, "right") - 1
+        window = x - start[who]
+        is_window = window < sizes[who]
+        held = np.concatenate([held, np.stack([groups, who, window])[:, is_window]], 1)
+        open_ = held[0] == group  # may go on in the next piece
+        found.append(later(held[:, ~open_]))
+        held = held[:, open_]
+    found.append(later(held))
+    return np.concatenate(found, 1)
 
 
 def _sort_shards(limit: int):
