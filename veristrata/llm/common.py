@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import io
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,20 +23,51 @@ REPO = str(Path(__file__).resolve().parents[2])
 BATCH_ROWS = "1000"
 
 _written: list[str] = []
+_shipped: set[str] = set()
+
+
+def _is_local(spark: SparkSession) -> bool:
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set what every operator with Python code needs: importable modules on the workers
-    and short Arrow batches."""
-    spark.sparkContext.environment["PYTHONPATH"] = REPO
+    """Set what every operator with Python code needs: the package on the workers and short
+    Arrow batches. On a cluster the package is shipped as an archive, once an application."""
+    sc = spark.sparkContext
+    if _is_local(spark):
+        paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if REPO not in paths:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [REPO])
+    elif sc.applicationId not in _shipped:
+        _shipped.add(sc.applicationId)
+        sc.addPyFile(_archive(spark))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark
 
 
+def _archive(spark: SparkSession) -> str:
+    """The package's modules as an archive in the shared folder."""
+    data = io.BytesIO()
+    package = Path(__file__).resolve().parents[1]
+    with zipfile.ZipFile(data, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent).as_posix())
+    path = f"{new_path(spark, 'package')}.zip"
+    _written.append(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder named in spark.checkpoint.dir. Where that is unset, a temporary one with a
+    local master, and an error on a cluster, whose machines share no temporary folder."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.veristrata.shared", None)
     if not found:
+        if not _is_local(spark):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="veristrata-")
         spark.conf.set("spark.veristrata.shared", found)
     return found.rstrip("/")
