@@ -57,7 +57,7 @@ def test_unigram(fallback, squeeze):
 
             @cache
             def least(at, s=s):
-                return 0.0 if at == len(s) else min(w + least(e) for w, e, _ in m.machine.arcs(s, at))
+                return 0.0 if at == len(s) else min(m.machine.weigh(x) + least(e) for e, x in m.machine.arcs(s, at))
 
             weight, path = m.shortest_path(s)
             assert weight == pytest.approx(least(0)) and "".join(m.pieces[x] if x < len(m.pieces) else chr(x - len(m.pieces)) for x in path) == s
@@ -74,7 +74,7 @@ def test_merged_pairs_have_one_path():
         def paths(at, last, s=s):
             if at == len(s):
                 yield []
-            for _, e, x in m.machine.arcs(s, at) if at < len(s) else ():
+            for e, x in m.machine.arcs(s, at) if at < len(s) else ():
                 if m.grammar.arc(last, x) == 0:
                     yield from ([x, *rest] for rest in paths(e, x))
 

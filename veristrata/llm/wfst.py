@@ -16,10 +16,11 @@ Four machines are compiled from a model file:
   and the only one. Its arcs are compiled when first met.
 
 An input is a linear acceptor. It is composed with the machines on demand, state by state,
-and the tropical-semiring shortest path to the end is the encoding: Dijkstra's search over
-the composed states (position, grammar state), which among equal weights goes on from the
-furthest position and weighs a grammar arc only when it comes up. Of paths of equal weight
-the one with the longer last piece wins.
+and the tropical-semiring shortest path to the end is the encoding. The composed states are
+(position, grammar state); every arc leads to a later position. For unigram models they are
+relaxed in the order of positions, and of paths of equal weight the one with the longer last
+piece wins. For merged pairs all finite weights are 0: Dijkstra's search goes on from the
+furthest state that is settled and weighs a grammar arc only when it comes up.
 
 The input is cut where no piece can cross, so that paths of the whole are paths of the parts
 one after the other: before a blank that follows another character, around line ends if no
@@ -29,7 +30,6 @@ before are looked up.
 
 from __future__ import annotations
 
-import heapq
 import re
 import struct
 from array import array
@@ -42,6 +42,8 @@ UNIGRAM, PAIRS = 1, 2
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Parts and pairs that a worker remembers before it starts anew.
 MEMORY, PAIR_MEMORY, LONG_PART = 250_000, 300_000, 64
+#: Characters whose arcs are remembered together, and how many of such strings.
+HEAD, HEADS = 4, 50_000
 #: Bits of a character or symbol in a key; symbols are piece ids, then characters.
 SHIFT = 21
 NONE = (1 << SHIFT) - 1
@@ -76,18 +78,20 @@ def _fields(buf: bytes):
 
 
 class _Parts(dict):
+    """Ids of the parts seen lately: a part that is met again outlives the others."""
+
     def __init__(self, find, inside):
-        self.find, self.inside = find, inside
+        self.find, self.inside, self.older = find, inside, {}
 
     def __missing__(self, part: str):
-        cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in self.inside]  # no piece holds both
-        if cuts:
-            return b"".join([self[part[i:j]] for i, j in pairwise([0, *cuts, len(part)])])
-        ids = self.find(part)
+        ids = self.older.get(part)
+        if ids is None:
+            cuts = [i for i, x in enumerate(map(str.__add__, part, part[1:]), 1) if x not in self.inside]  # no piece holds both
+            ids = b"".join([self[part[i:j]] for i, j in pairwise([0, *cuts, len(part)])]) if cuts else self.find(part)
         if len(part) <= LONG_PART:
-            if len(self) >= MEMORY:
+            if 2 * len(self) >= MEMORY:
+                self.older = dict(self)
                 self.clear()
-                self[""] = b""
             self[part] = ids
         return ids
 
@@ -123,7 +127,8 @@ class Pieces:
     def __init__(self, pieces: list[str], ids: dict[str, int], weight: list[float] | None):
         self.next: dict[int, int] = {}  # state << SHIFT | character -> state
         self.final = [-1]  # piece that ends in a state
-        self.size, self.weight = len(pieces), weight
+        self.heads: dict[str, tuple] = {}  # arcs of the first HEAD characters
+        self.size, self.weight, self.longest = len(pieces), weight, max(map(len, ids), default=1)
         self.fallback = max(weight, default=0.0) + 10 if weight else 0.0
         for p, i in ids.items():
             state = 0
@@ -135,21 +140,43 @@ class Pieces:
                 state = to
             self.final[state] = i
 
-    def arcs(self, s: str, at: int) -> list[tuple[float, int, int]]:
-        """(weight, end, symbol) of the paths from the start back to it that read s from at."""
-        out, state, e, n = [], 0, at, len(s)
-        follow, final, weight = self.next, self.final, self.weight
-        while e < n:
-            state = follow.get(state << SHIFT | ord(s[e]))
+    def head(self, s: str) -> tuple[tuple[tuple[int, int], ...], int | None]:
+        """(length, symbol) of the paths that read no more than s, and the state after all of it."""
+        out, state = [], 0
+        for k, c in enumerate(s, 1):
+            state = self.next.get(state << SHIFT | ord(c))
             if state is None:
                 break
-            e += 1
-            if (i := final[state]) >= 0:
-                out.append((weight[i] if weight else 0.0, e, i))
-        if not out or out[0][1] != at + 1:
-            out.append((self.fallback, at + 1, self.size + ord(s[at])))
+            if (i := self.final[state]) >= 0:
+                out.append((k, i))
+        if not out or out[0][0] != 1:
+            out.insert(0, (1, self.size + ord(s[0])))
+        return tuple(out), state
+
+    def arcs(self, s: str, at: int) -> list[tuple[int, int]]:
+        """(end, symbol) of the paths from the start back to it that read s from at, shortest first."""
+        found = self.heads.get(key := s[at : at + HEAD])
+        if found is None:
+            if len(self.heads) >= HEADS:
+                self.heads.clear()
+            found = self.heads[key] = self.head(key)
+        out = [(at + k, x) for k, x in found[0]]
+        if (state := found[1]) is not None:
+            follow, final = self.next.get, self.final
+            for e, c in enumerate(s[at + HEAD : at + self.longest], at + HEAD + 1):
+                state = follow(state << SHIFT | ord(c))
+                if state is None:
+                    break
+                if (i := final[state]) >= 0:
+                    out.append((e, i))
         return out
 
+    def weigh(self, symbol: int) -> float:
+        return self.weight[symbol] if symbol < self.size else self.fallback
+
+    def __getstate__(self):
+        return self.__dict__ | {"heads": {}}
+
 
 class Bigrams:
     """The grammar of models of merged pairs. Its state is the last symbol."""
@@ -230,8 +257,7 @@ class Transducer:
         self._start()
 
     def _start(self) -> None:
-        self.parts = _Parts(self._encode, self.inside)
-        self.parts[""] = b""
+        self.parts = _Parts(lambda part: self._encode(part) if part else b"", self.inside)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "parts"}
@@ -243,31 +269,55 @@ class Transducer:
     def shortest_path(self, s: str) -> tuple[float, list[int]]:
         """Weight and symbols of the tropical-semiring shortest path through s, the pieces, the
         byte fallback and the grammar."""
-        n, grammar, arcs = len(s), self.grammar, self.machine.arcs
-        ends, symbols, back = [0], [NONE], [0]  # of the states that are settled
-        settled = set()
-        heap = [(w, n - e, 0, x, 0) for w, e, x in arcs(s, 0)] if n else []
-        heapq.heapify(heap)
-        while heap:
-            weight, left, _, symbol, before = heapq.heappop(heap)
-            at = n - left
-            state = at << SHIFT | symbol if grammar else at
-            if state in settled or grammar and (weight := weight + grammar.arc(symbols[before], symbol)) == INFINITY:
-                continue
-            settled.add(state)
-            here = len(ends)
-            ends.append(at)
-            symbols.append(symbol)
+        if not s:
+            return 0.0, []
+        return self._by_weight(s) if self.grammar is None else self._by_distance(s, self.grammar)
+
+    def _by_weight(self, s: str) -> tuple[float, list[int]]:
+        """The grammar has one state, so the composed states are positions."""
+        n, machine = len(s), self.machine
+        best: list[tuple[float, int, int]] = [(INFINITY, 0, NONE)] * (n + 1)  # weight, from where, by which symbol
+        best[0] = (0.0, 0, NONE)
+        for at in range(n):  # positions are in topological order
+            weight = best[at][0]
+            for e, x in machine.arcs(s, at):
+                if (w := weight + machine.weigh(x)) < best[e][0]:
+                    best[e] = (w, at, x)
+        out, at = [], n
+        while at:
+            _, before, x = best[at]
+            out.append(x)
+            at = before
+        return best[n][0], out[::-1]
+
+    def _by_distance(self, s: str, grammar: Bigrams) -> tuple[float, list[int]]:
+        """All finite weights are 0, so of the arcs that wait Dijkstra's search may take any: the
+        one with the furthest end. Its grammar arc is weighed only then."""
+        n, arcs, known = len(s), self.machine.arcs, grammar.known.get
+        symbols, back = [NONE], [0]  # of the states that are settled
+        waiting: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]  # by end
+        settled, at, here = set(), 0, 0
+        while at < n:
+            for top, x in arcs(s, at):
+                waiting[top].append((x, here))
+            while True:
+                while not waiting[top]:
+                    top -= 1
+                x, before = waiting[top].pop()
+                weight = known(symbols[before] << SHIFT | x)
+                if weight is None:
+                    weight = grammar.arc(symbols[before], x)
+                if weight == 0 and (top << SHIFT | x) not in settled:
+                    break
+            settled.add(top << SHIFT | x)
+            at, here = top, len(symbols)
+            symbols.append(x)
             back.append(before)
-            if not left:
-                out = []
-                while here:
-                    out.append(symbols[here])
-                    here = back[here]
-                return weight, out[::-1]
-            for w, e, x in arcs(s, at):
-                heapq.heappush(heap, (weight + w, n - e, at, x, here))
-        return 0.0, []
+        out = []
+        while here:
+            out.append(symbols[here])
+            here = back[here]
+        return 0.0, out[::-1]
 
     def _encode(self, s: str) -> bytes:
         """Ids of a part, as int32: what the arcs of its shortest path write."""
