@@ -26,11 +26,12 @@ import numpy as np
 IN_MEMORY, PIECE = 8_000_000, 1 << 18
 #: Suffixes that leave together, from as many neighbouring queues as hold them.
 #: The number follows how often one enters a queue that leaves with it.
-BATCH, LEAST = 8192, 256
+BATCH, LEAST = 32_768, 1024
 #: Up to this length suffixes leave one at a time.
 SMALL = 200_000
 #: Common prefixes are counted up to this.
 CAP = 100
+_ZERO = np.zeros(1, np.int64)
 
 
 def allocate(n: int, dtype, limit: int) -> np.ndarray:
@@ -132,8 +133,8 @@ class _Queues:
         if len(items):
             order = np.argsort(chars, kind="stable")
             chars, items, at = chars[order], items[order], at[order]
-            cuts = np.r_[0, np.nonzero(chars[1:] != chars[:-1])[0] + 1]
-            size = np.diff(np.r_[cuts, len(chars)])
+            cuts = np.concatenate([_ZERO, (chars[1:] != chars[:-1]).nonzero()[0] + 1])
+            size = np.concatenate([cuts[1:], [len(chars)]]) - cuts
             which = chars[cuts]
             place = np.repeat(self.entry[which], size) + self.step * (np.arange(len(chars)) - np.repeat(cuts, size))
             self.queue[place] = items
@@ -171,7 +172,8 @@ class _Queues:
             known[cuts[before < 0]] = False
             self.prefix[place[known] + 1] = value[known]
         last = at[cuts + size - 1]
-        after = np.r_[np.minimum.accumulate(left[::-1])[::-1], CAP]
+        after = np.full(len(left) + 1, CAP, np.uint8)
+        after[:-1] = np.minimum.accumulate(left[::-1])[::-1]
         self.when[which], self.least[which] = self.batch, after[last + 1]
 
 

@@ -40,6 +40,8 @@ WINDOWS = LENGTH - GRAM + 1
 assert LENGTH <= CAP
 #: Bytes of the classes in a shard, on average; a group of classes is split beyond this.
 SHARD = 1_500_000
+#: Ranges of offsets by which classes are left out before they are sorted.
+RANGES = (2, 10)
 RUNS = "array<struct<a:int,b:int>>"
 
 
@@ -95,38 +97,41 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["gram", "id", "n", "place", "key", "at", "body"]
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int64(), pa.int32(), pa.binary())
+    names = ["gram", "id", "n", "place", "hot", "key", "at", "body"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
     for b in batches:
         rows = []
         for key, text, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            rows += [(s["gram"], s["id"], s["n"], s["place"], key, s["at"], text[s["at"] : s["at"] + s["n"] + LENGTH - 1]) for s in spans]
-        cols = list(zip(*rows, strict=True)) or [[]] * 7
+            rows += [(s["gram"], s["id"], s["n"], s["place"], s["hot"], key, s["at"], text[s["at"] : s["at"] + s["n"] + LENGTH - 1]) for s in spans]
+        cols = list(zip(*rows, strict=True)) or [[]] * 8
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
     give_back()
 
 
-def may_repeat(bodies: list[bytes], place: np.ndarray, grams: np.ndarray) -> np.ndarray:
+def may_repeat(bodies: list[bytes], sizes: np.ndarray, place: np.ndarray, grams: np.ndarray) -> np.ndarray:
     """Which bodies may share a window with another one of their gram, which is at place.
 
-    A shared window has LENGTH - GRAM bytes beside the gram, so at least half of them on one
-    side of it: bodies that share one agree on that many bytes there. Agreement is compared
-    by hash, which can only keep too many."""
-    half = (LENGTH - GRAM) // 2
+    Shared windows that hold the gram at offsets lo to hi agree on the lo bytes before it and on
+    WINDOWS - 1 - hi bytes after it. Ranges of offsets are tried, first wide, then narrow ones.
+    Agreement is compared by hash, which can only keep too many."""
     data = np.frombuffer(b"".join(bodies) + bytes(8), np.uint8)
-    lengths = np.array([len(x) for x in bodies], np.int64)
-    start = np.r_[0, lengths.cumsum()[:-1]]
-    at = start + place
+    start = np.cumsum([0, *map(len, bodies)])[:-1]
     word = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
-    keep = np.zeros(len(bodies), bool)
-    for begin, there in ((at - half, at - half >= start), (at + GRAM, at + GRAM + half <= start + lengths)):
-        rows = np.nonzero(there)[0]
-        x = grams[rows].view(np.uint64).copy()
-        for k in [*range(0, half - 7, 8), half - 8]:
-            x = (x ^ word[begin[rows] + k]) * np.uint64(0x9E3779B97F4A7C15)
-            x ^= x >> np.uint64(29)
-        _, back, many = np.unique(x, return_inverse=True, return_counts=True)
-        keep[rows[many[back] > 1]] = True
+    some = np.arange(len(bodies))
+    for ranges in RANGES:
+        keep = np.zeros(len(bodies), bool)
+        edges = [WINDOWS * i // ranges for i in range(ranges + 1)]
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            rows = some[(place[some] >= lo) & (place[some] - sizes[some] + 1 < hi)]
+            begin, length = start[rows] + place[rows] - lo, lo + GRAM + WINDOWS - hi
+            x = grams[rows].view(np.uint64).copy()
+            for k in [*range(0, length - 7, 8), length - 8]:
+                x = (x ^ word[begin + k]) * np.uint64(0x9E3779B97F4A7C15)
+                x ^= x >> np.uint64(29)
+            order = np.argsort(x)
+            same = np.concatenate([[False], x[order][1:] == x[order][:-1], [False]])
+            keep[rows[order[same[1:] | same[:-1]] if len(rows) else []]] = True
+        some = np.nonzero(keep)[0]
     return keep
 
 
@@ -181,7 +186,7 @@ def _sort_shards(limit: int):
             t = pa.Table.from_batches(rows)
             gram, ids, body = t.column("gram"), t.column("id"), t.column("body").to_pylist()
             n, place, key, at = (t.column(c).to_numpy() for c in ("n", "place", "key", "at"))
-            some = np.nonzero(may_repeat(body, place.astype(np.int64), gram.to_numpy()))[0]
+            some = np.nonzero(may_repeat(body, n.astype(np.int64), place.astype(np.int64), gram.to_numpy()))[0]
             who, window = repeated_windows([body[i] for i in some.tolist()], n[some], key[some], at[some], limit)
             who = some[who]
             by = np.lexsort((window, who))
@@ -252,9 +257,9 @@ def keyed(docs: DataFrame, cols: list[str]) -> tuple[DataFrame, bool]:
 
 def _cut_out(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The classes with their text, from their first occurrence."""
-    of = classes.groupBy("key").agg(F.collect_list(F.struct("gram", "id", "n", "place", "at")).alias("spans"))
+    of = classes.groupBy("key").agg(F.collect_list(F.struct("gram", "id", "n", "place", "hot", "at")).alias("spans"))
     cut = docs.select("key", "body").join(of, "key").select("key", "body", "spans")
-    return cut.mapInArrow(_cut, "gram long, id long, n int, place short, key long, at int, body binary")
+    return cut.mapInArrow(_cut, "gram long, id long, n int, place short, hot boolean, key long, at int, body binary")
 
 
 def _sorted(groups: DataFrame, size: int, shard: int, limit: int) -> DataFrame:
@@ -315,11 +320,13 @@ def spans(docs: DataFrame, shard: int = SHARD, limit: int = IN_MEMORY) -> DataFr
     several = materialise(classes.groupBy("gram").agg(F.count("*").alias("c"), F.sum((F.col("n") + LENGTH).cast("long")).alias("size")).where("c > 1"), "grams")
     is_hot = F.col("size") > shard
     cold_size, hot_size = several.agg(F.sum(F.when(~is_hot, F.col("size"))), F.sum(F.when(is_hot, F.col("size")))).first()
-    mixed = classes.join(several.where(~is_hot).select("gram"), "gram", "left_semi")
-    runs = materialise(_sorted(_cut_out(docs, mixed).withColumn("g", F.col("gram")), cold_size or 0, shard, limit), "runs")
+    cut = _cut_out(docs, classes.join(several.select("gram", is_hot.alias("hot")), "gram"))
     if hot_size:
-        hot = classes.join(several.where(is_hot).select("gram"), "gram", "left_semi")
-        runs = runs.unionByName(_split(materialise(_cut_out(docs, hot), "hot"), shard, limit))
+        cut = materialise(cut, "cut")
+    runs = materialise(_sorted(cut.where("not hot").withColumn("g", F.col("gram")), cold_size or 0, shard, limit), "runs")
+    if hot_size:
+        runs = runs.unionByName(_split(cut.where("hot").drop("hot"), shard, limit))
+        discard(cut)
     judged = classes.join(runs, ["gram", "id"], "left")
     judged = judged.where("copies > 1 or runs is not null")
     judged = materialise(judged.select("gram", "id", F.col("key").alias("f_key"), F.col("at").alias("f_at"), "runs"), "judged")
