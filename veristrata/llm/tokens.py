@@ -199,7 +199,8 @@ def read_shards(manifest: DataFrame, from_slot: int = 0, length: int = SEQUENCE,
     some = manifest.where(F.col("first_slot") + F.col("n_slots") > from_slot)
     pieces = some.select("shard", "file", "first_slot", "n_slots", F.explode(F.sequence(at, F.col("n_slots") - 1, F.lit(read).cast("long"))).alias("at"))
     pieces = pieces.select("shard", "file", "first_slot", "at", F.least(F.lit(read).cast("long"), F.col("n_slots") - F.col("at")).alias("n"))
-    return pieces.repartition(F.col("file"), F.col("at")).mapInArrow(parse, "slot long, shard long, offset long, doc_id long, seq int, n_tokens long, ids binary")
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that few rows are not put into one task
+    return pieces.repartition(tasks, "file", "at").mapInArrow(parse, "slot long, shard long, offset long, doc_id long, seq int, n_tokens long, ids binary")
 
 
 def materialise_order(docs: DataFrame, path: str | None = None, machine: tiktoken.Encoding | None = None, key: int = KEY) -> DataFrame:
