@@ -9,6 +9,7 @@ import pytest
 import yaml
 
 import __spark_entry__ as entry
+from veristrata import cli
 from veristrata import queries as q
 from veristrata.functions.predicates import predicate_problem, read_predicate
 from veristrata.operators.lifecycle import diff
@@ -281,6 +282,75 @@ def test_store(spark, tmp_path):
     assert snap.read("t").count() == 2
 
 
+def test_counts_and_violations_agree(spark, items, tmp_path, monkeypatch):
+    """The source changes between counting and collecting; results say what was written."""
+    path = f"{tmp_path}/moving"
+    frame(spark, [(1, 1), (2, -1)], "id int, a int").write.parquet(path)
+    spark.read.parquet(path).createOrReplaceTempView("items")
+    real = planner.violations
+
+    def moved(df, rules, seen=None):
+        frame(spark, [(3, -3), (4, -4), (4, -5)], "id int, a int").write.mode("append").parquet(path)
+        spark.read.parquet(path).createOrReplaceTempView("items")
+        return real(spark.table("items").join(spark.table("other"), "id", "left"), [compile_rule(r.rule, spark.table("items").join(spark.table("other"), "id", "left"), "id") for r in rules], seen)
+
+    monkeypatch.setattr(planner, "violations", moved)
+    store = SnapshotStore(spark, f"file://{tmp_path}/store")
+    engine = Engine(spark, settings={"MAX_RULE_RETRIES": 0}, store=store)
+    text = YAML.replace("unique: id", "row_count: {minimum: 1, maximum: 1}")
+    results, _ = engine.run({"items": text}, RunContext("one", NOW))
+    written = {r.rule_id: r["count"] for r in store.read(engine.targets["violations_table"]).groupBy("rule_id").count().collect()}
+    got = {r.rule_id: (r.total_rows, r.passed_rows, r.failed_rows) for r in results.collect()}
+    assert got["1"][2] >= 2 and all(t == p + f for t, p, f in got.values()) and got["4"] == (1, 0, 1) and written["4"] == 1
+    assert not store._scratch and not [x for x in store._leaves("", "scratch-")]
+
+
+def test_one_failing_collection_leaves_the_others(spark, items, tmp_path, monkeypatch):
+    real = planner.violations
+
+    def fails(df, rules, seen=None):
+        if any(r.rule.rule_id == "1" for r in rules):
+            raise RuntimeError("connection lost")
+        return real(df, rules, seen)
+
+    slept = []
+    monkeypatch.setattr(planner, "violations", fails)
+    engine = Engine(spark, settings={"MAX_RULE_RETRIES": 1}, store=SnapshotStore(spark, f"file://{tmp_path}/store"), sleep=slept.append)
+    results, _ = engine.run({"items": YAML}, RunContext("one", NOW))
+    assert {r.rule_id: r.status for r in results.collect()} == {"1": "ERROR", "2": "ERROR", "3": "FAILED", "4": "FAILED"} and slept == [2.0]
+    assert {r.rule_id for r in engine.store.read(engine.targets["violations_table"]).collect()} == {"3", "4"}
+
+
+def test_configuration_keys(spark, items):
+    long = {"DEFAULT_SCHEMA": "dq", "DQ_RESULTS_TABLE": "runs", "DQ_VIOLATIONS_TABLE": "other.bad", "DQ_EXECUTION_METRICS_TABLE": "metrics"}
+    assert resolve_targets(long) == {"results_table": "dq.runs", "violations_table": "other.bad", "metrics_table": "dq.metrics"}
+    for wrong in ({k: v for k, v in long.items() if k != "DQ_RESULTS_TABLE"}, long | {"COLOUR": "x"}, long | {"schema": "x"}, {"colour": "x"}, long | {"DEFAULT_SCHEMA": "a b"}):
+        with pytest.raises(ValueError):
+            resolve_targets(wrong)
+        with pytest.raises(ValueError):
+            preflight(spark, {"items": YAML}, wrong)
+    with pytest.raises(TypeError):
+        resolve_targets(["schema"])
+    frame(spark, [(1, "x")], "ID int, B string").createOrReplaceTempView("other")
+    good = YAML.replace("nothing > 0", "a < 9")
+    assert preflight(spark, {"items": good}) == {"items": 4} and scoped_source(spark, load_catalogs({"items": good})[0]).count() == 3
+    frame(spark, [(1, "x")], "key int, b string").createOrReplaceTempView("other")
+    with pytest.raises(PreflightError):
+        preflight(spark, {"items": good})
+
+
+def test_command_line(spark, items, tmp_path, capsys):
+    frame(spark, [(1, 1), (2, -1)], "id int, a int").write.parquet(f"{tmp_path}/items.parquet")
+    (tmp_path / "items.yaml").write_text(YAML.replace("nothing > 0", "a < 9"))
+    config = {"catalogs": {"items": "items.yaml"}, "tables": {"schema": "cli_db"}, "settings": {"max_rule_retries": 0}, "views": {"items": f"{tmp_path}/items.parquet"}}
+    (tmp_path / "config.yaml").write_text(yaml.safe_dump(config))
+    for command, words in (("setup", ["cli_db.dq_results"]), ("preflight", ["items: 4 rules"]), ("run", ["Succeeded", "Items", "Active"]), ("report", ["Succeeded", "Items", "Active"])):
+        assert cli.main([command, str(tmp_path / "config.yaml")], spark) == 0
+        out = capsys.readouterr().out
+        assert all(w in out for w in words), out
+    assert spark.table("cli_db.dq_violations").count() == 2 and not [t.name for t in spark.catalog.listTables() if t.name.startswith("dq_scratch")]
+
+
 class Crash(Exception):
     pass
 

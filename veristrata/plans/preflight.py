@@ -23,16 +23,22 @@ class PreflightError(ValueError):
 
 
 def join_problems(spark: SparkSession, catalog: Catalog) -> list[str]:
+    """Join tables and columns that don't exist. Names are compared as the session does."""
     out = []
-    left = set(spark.table(catalog.full_table).columns)
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
+
+    def fold(names) -> set[str]:
+        return set(names) if exact else {n.lower() for n in names}
+
+    left = fold(spark.table(catalog.full_table).columns)
     for j in catalog.joins:
         if not spark.catalog.tableExists(j.table):
             out.append(f"{catalog.key}: the join table {j.table} does not exist")
             continue
-        right = set(spark.table(j.table).columns)
-        out += [f"{catalog.key}: {j.table} has no column {c}" for c in (*j.select, *j.on, *([j.right_on] if j.right_on else [])) if c not in right]
-        out += [f"{catalog.key}: the source has no column {c} to join on" for c in (*j.on, *([j.left_on] if j.left_on else [])) if c not in left]
-        left |= set(j.select) | right if not j.select else set(j.select)
+        right = fold(spark.table(j.table).columns)
+        out += [f"{catalog.key}: {j.table} has no column {c}" for c in (*j.select, *j.on, *([j.right_on] if j.right_on else [])) if not fold([c]) <= right]
+        out += [f"{catalog.key}: the source has no column {c} to join on" for c in (*j.on, *([j.left_on] if j.left_on else [])) if not fold([c]) <= left]
+        left |= fold(j.select) if j.select else right
     return out
 
 

@@ -12,12 +12,13 @@ from .operators.lifecycle import diff
 from .operators.rules import compile_rule
 from .plans import planner, reports
 from .plans.runner import Engine, RunContext
-from .schemas import VIOLATIONS
+from .schemas import VIOLATIONS, CatalogError
 from .sources.catalog import Catalog, Join, Rule, parse_catalog
 from .sources.source import joined_source, scoped_source
 
 RUN = RunContext("run-2", datetime(2024, 2, 2, 3, 0))
 EARLIER = RunContext("run-1", datetime(2024, 2, 1, 3, 0))
+LATER = RunContext("run-3", datetime(2024, 2, 3, 3, 0))
 KEYS = ("primary_key_value", "violated_column", "expected_condition")
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _sql: dict[str, str] = {}
@@ -52,9 +53,11 @@ def _bad(pk: str, column: str | None, condition: str, source: str, where: str, e
     return f"select cast({pk} as varchar) as primary_key_value, {col} as violated_column, '{condition.replace(chr(39), chr(39) * 2)}' as expected_condition{extra} from {source} where {where}"
 
 
-def _check(name: str, table: str, pk: str, column: str | None, text: str, sql_where: str | None = None, source=None, sql_source: str | None = None, **more) -> None:
+def _check(name: str, table: str, pk: str, column: str | None, text: str, sql_where: str | None = None, source=None, sql_source: str | None = None, detail: str | None = None, **more) -> None:
     build = source or (lambda s, d: _t(s, d, table))
-    _add(name, _bad(pk, column, text, sql_source or table, sql_where or f"not ({text})"), lambda s, d: _violations(build(s, d), pk, check=text, **more))
+    actual = f", cast({column or 'null'} as varchar) as actual_value"
+    columns, extra = ("actual_value", *(["violation_detail"] if detail else [])), actual + (f", {detail} as violation_detail" if detail else "")
+    _add(name, _bad(pk, column, text, sql_source or table, sql_where or f"not ({text})", extra), lambda s, d: _violations(build(s, d), pk, *columns, check=text, **more))
 
 
 def _views(spark: SparkSession, d: str, *names: str) -> None:
@@ -84,19 +87,20 @@ def _labelled(s: SparkSession, d: str) -> DataFrame:
     return _joined("documents", "labels", table="documents", joins=(Join("labels", on=("doc_id",), select=("quality", "toxic")),))(s, d)
 
 
-_check("check_literal", "customer", "c_custkey", "c_acctbal", "c_acctbal >= 0")
+_check("check_literal", "customer", "c_custkey", "c_acctbal", "c_acctbal >= 0", detail="'c_acctbal = ' || cast(c_acctbal as varchar) || '; must satisfy c_acctbal >= 0; ' || cast(c_acctbal as varchar) || ' is less than 0'")
 _check("check_columns", "lineitem", "line", "l_shipdate", "l_shipdate >= o_orderdate", source=_lines_pk, sql_source=f"(select *, {_PK} as line from {_LINES})")
-_queries["join_left_on_right_on"], _sql["join_left_on_right_on"] = _queries["check_columns"], _sql["check_columns"]
+_add("join_left_on_right_on", "select p_brand, count(*)::bigint as lines, sum(p_size)::bigint as sizes, count_if(p_brand is null)::bigint as unknown from lineitem left join part on l_partkey = p_partkey group by p_brand",
+     lambda s, d: _joined("lineitem", "part", table="lineitem", joins=(Join("part", left_on="l_partkey", right_on="p_partkey", select=("p_brand", "p_size")),))(s, d).groupBy("p_brand").agg(F.count("*").alias("lines"), F.sum("p_size").alias("sizes"), F.count_if(F.col("p_brand").isNull()).alias("unknown")))
 _check("check_null_semantics", "documents", "doc_id", "quality", "quality = 1", source=_labelled, sql_source="documents left join labels using (doc_id)")
 _check("check_fk", "documents", "doc_id", "quality", "quality IS NOT NULL", source=_labelled, sql_source="documents left join labels using (doc_id)")
 _check("check_not_null", "orders", "o_orderkey", "big", "big IS NOT NULL", source=lambda s, d: _t(s, d, "orders").withColumn("big", F.expr("nullif(o_orderstatus, 'P')")), sql_source="(select *, nullif(o_orderstatus, 'P') as big from orders)")
-_check("check_in", "orders", "o_orderkey", "o_orderstatus", "o_orderstatus IN ('F', 'O')")
+_check("check_in", "orders", "o_orderkey", "o_orderstatus", "o_orderstatus IN ('F', 'O')", detail="'o_orderstatus = ' || o_orderstatus || '; must satisfy o_orderstatus IN (''F'', ''O'')'")
 _check("check_like", "part", "p_partkey", "p_type", "p_type LIKE 'P%'")
 _check("check_not_equal", "orders", "o_orderkey", "o_orderpriority", "o_orderpriority != '1-URGENT'")
 _check("check_constant", "nation", "n_nationkey", None, "1 = 0")
-_check("check_or_date", "orders", "o_orderkey", "o_orderdate", "o_orderdate >= DATE'1995-01-01' OR o_orderstatus = 'F'")
+_check("check_or_date", "orders", "o_orderkey", "o_orderdate", "o_orderdate >= DATE'1998-01-01' OR o_orderstatus = 'F'")
 _check("check_division", "customer", "c_custkey", "c_acctbal", "c_acctbal / (c_nationkey % 3) > 0", sql_where="not (c_acctbal / nullif(c_nationkey % 3, 0) > 0)")
-_check("check_date", "orders", "o_orderkey", "o_orderdate", "datediff(DATE'1998-12-31', CAST(o_orderdate AS DATE)) <= 1500", sql_where="not (date_diff('day', cast(o_orderdate as date), date '1998-12-31') <= 1500)")
+_check("check_date", "orders", "o_orderkey", "o_orderdate", "datediff(DATE'1998-12-31', CAST(o_orderdate AS DATE)) <= 700", sql_where="not (date_diff('day', cast(o_orderdate as date), date '1998-12-31') <= 700)")
 _check("when_scope", "orders", "o_orderkey", "o_totalprice", "o_totalprice >= 100000", sql_where="o_orderstatus = 'F' and not (o_totalprice >= 100000)", when="o_orderstatus = 'F'")
 _add("when_scope_counts", "select count(*)::bigint as total_rows, count_if(o_totalprice < 100000)::bigint as failed_rows from orders where o_orderstatus = 'F'", lambda s, d: _counts(_t(s, d, "orders"), "o_orderkey", check="o_totalprice >= 100000", when="o_orderstatus = 'F'"))
 
@@ -112,7 +116,23 @@ def _filtered(overrides=None):
 _check("where_filter", "orders", "o_orderkey", "o_totalprice", "o_totalprice >= 100000", sql_where="o_orderpriority like '1%' and not (o_totalprice >= 100000)", source=_filtered())
 _check("where_override", "orders", "o_orderkey", "o_totalprice", "o_totalprice >= 100000", sql_where="o_orderstatus = 'O' and not (o_totalprice >= 100000)", source=_filtered({"orders": "o_orderstatus = 'O'"}))
 _check("where_disabled", "orders", "o_orderkey", "o_totalprice", "o_totalprice >= 100000", source=_filtered({"orders": None}))
-_add("source_guard", "select count(*) = 0 as is_empty from nation", lambda s, d: s.createDataFrame([(_t(s, d, "nation").isEmpty(),)], "is_empty boolean"))
+
+
+def _guarded(s: SparkSession, d: str) -> DataFrame:
+    """Whether a source is refused, and how many rows it has else: a table, and one without rows."""
+    _views(s, d, "nation")
+    _t(s, d, "nation").where("n_nationkey < 0").createOrReplaceTempView("no_nation")
+    out = []
+    for name in ("nation", "no_nation"):
+        for fail in (True, False):
+            try:
+                out.append((name, fail, False, scoped_source(s, Catalog(name, name, name, ()), None, fail).count()))
+            except CatalogError:
+                out.append((name, fail, True, None))
+    return s.createDataFrame(out, "source string, fail_on_empty boolean, refused boolean, rows_seen long")
+
+
+_add("source_guard", "with t as (select 'nation' as source, count(*) as n from nation union all select 'no_nation', count(*) from nation where n_nationkey < 0) select source, f as fail_on_empty, f and n = 0 as refused, case when not (f and n = 0) then n end::bigint as rows_seen from t, (values (true), (false)) v(f)", _guarded)
 _add("join_using", "select doc_id, quality, toxic from documents left join labels using (doc_id)", lambda s, d: _labelled(s, d).select("doc_id", "quality", "toxic"))
 _add(
     "join_chain", "select n_nationkey, n_name, r_name, count(c_custkey)::bigint as customers from nation left join region on n_regionkey = r_regionkey left join customer on n_nationkey = c_nationkey group by all",
@@ -132,6 +152,7 @@ def _required(name: str, shown: str, values: list[str], more: str = "", **cfg) -
     has = f"bool_or(o_orderstatus in ({', '.join(repr(v) for v in values)}))"
     condition = f"Group must contain at least one row where o_orderstatus = '{shown}'{more}"
     _add(name, _bad("o_custkey", "o_orderstatus", condition, "orders", "o_custkey is not null") + f" group by o_custkey having not {has}", lambda s, d: _violations(_t(s, d, "orders"), None, required_event={"event_column": "o_orderstatus", "group_column": "o_custkey", **cfg}))
+    _add(f"{name}_totals", f"select count(*)::bigint as total_rows, count_if(not ok)::bigint as failed_rows from (select {has} as ok from orders where o_custkey is not null group by o_custkey)", lambda s, d: _counts(_t(s, d, "orders"), None, required_event={"event_column": "o_orderstatus", "group_column": "o_custkey", **cfg}))
 
 
 _required("required_event", "F", ["F"], value="F")
@@ -143,8 +164,17 @@ def _aggregate(name: str, function: str, column: str, reference: str, source, sq
     tol = 0.01 if tolerance is None else float(tolerance)
     cfg = {"group_column": group, "aggregate_column": column, "reference_column": reference, "aggregate": function} | ({} if tolerance is None else {"tolerance": tolerance})
     condition = f"ABS({function.upper()}({column}) - {reference}) <= {tol}"
-    sql = _bad(group, column, condition, sql_source, f"{group} is not null and {column} is not null and {reference} is not null") + f" group by {group}, {reference} having abs({function}({column}) - {reference}) > {tol}"
-    _add(name, sql, lambda s, d: _violations(source(s, d), None, aggregate_matches=cfg))
+    where = f"{group} is not null and {column} is not null and {reference} is not null"
+    whole = function in ("count", "min", "max")  # sums of doubles differ in their last digits
+    extra = f", cast({function}({column}) as varchar) as actual_value, '{function.upper()}({column}) is ' || {function}({column}) || ', {reference} is ' || {reference} || '; they differ by ' || abs({function}({column}) - {reference}) as violation_detail" if whole else f", round({function}({column}), 2)::double as actual_value"
+    sql = _bad(group, column, condition, sql_source, where, extra) + f" group by {group}, {reference} having abs({function}({column}) - {reference}) > {tol}"
+
+    def run(s: SparkSession, d: str) -> DataFrame:
+        got = _violations(source(s, d), None, "actual_value", "violation_detail", aggregate_matches=cfg)
+        return got if whole else got.withColumn("actual_value", F.round(F.col("actual_value").cast("double"), 2)).drop("violation_detail")
+
+    _add(name, sql, run)
+    _add(f"{name}_totals", f"select count(*)::bigint as total_rows, count_if(bad)::bigint as failed_rows from (select {group}, bool_or(bad) as bad from (select {group}, abs({function}({column}) - {reference}) > {tol} as bad from {sql_source} where {where} group by {group}, {reference}) group by {group})", lambda s, d: _counts(source(s, d), None, aggregate_matches=cfg))
 
 
 def _with_max(s: SparkSession, d: str) -> DataFrame:
@@ -182,6 +212,8 @@ s as (select g, count_if(r = 0) as ns, count_if(r = {w + 1}) as ne, count_if({tu
 v as (select *, ns > 1 or ne > 1 or n % {w} <> 0 as broken from s)
 select g as primary_key_value, 'event_type' as violated_column, 'Events must follow: {shown}' as expected_condition, ev as actual_value from v where inside and (broken or nb > 0)"""
     _add(name, sql, lambda s, d: _violations(_visits(s, d), None, "actual_value", event_flow=cfg))
+    totals = sql.rpartition("select g as primary_key_value")[0] + "select count(*)::bigint as total_rows, count_if(broken or nb > 0)::bigint as failed_rows from v where inside"
+    _add(f"{name}_totals", totals, lambda s, d: _counts(_visits(s, d), None, event_flow=cfg))
 
 
 _SHOWN = "signup → (click, purchase)* → error"
@@ -219,8 +251,8 @@ def _orders(s: SparkSession, d: str, run: RunContext = RUN, df: DataFrame | None
     return Engine(s, fuse=fuse).validate(parse_catalog("orders", _CATALOG), run, df)
 
 
-_RESULT_COLUMNS = ("rule_group", "rule_id", "expectation", "total_rows", "passed_rows", "failed_rows", "status", "error_category")
-_RESULT_SQL = _CAT_SQL + " select 'Orders' as rule_group, rule_id, expectation, total_rows::bigint as total_rows, (total_rows - failed_rows)::bigint as passed_rows, failed_rows::bigint as failed_rows, status, case when status = 'ERROR' then 'source_data' end as error_category from s"
+_RESULT_COLUMNS = ("rule_group", "rule_id", "expectation", "total_rows", "passed_rows", "failed_rows", "success_pct", "status", "error_category")
+_RESULT_SQL = _CAT_SQL + " select 'Orders' as rule_group, rule_id, expectation, total_rows::bigint as total_rows, (total_rows - failed_rows)::bigint as passed_rows, failed_rows::bigint as failed_rows, case when status = 'ERROR' then 0 when total_rows = 0 then 100 else round((total_rows - failed_rows) / total_rows * 100, 2) end::double as success_pct, status, case when status = 'ERROR' then 'source_data' end as error_category from s"
 _add("results_table", _RESULT_SQL, lambda s, d: _orders(s, d)[0].select(*_RESULT_COLUMNS))
 _add("results_table_unfused", _RESULT_SQL, lambda s, d: _orders(s, d, fuse=False)[0].select(*_RESULT_COLUMNS))
 
@@ -237,14 +269,16 @@ _add("violations_table", _keys_sql(), lambda s, d: _orders(s, d)[1].select("rule
 
 
 def _two_runs(s: SparkSession, d: str) -> DataFrame:
-    orders, cut = _t(s, d, "orders"), F.lit("1995-06-17").cast("timestamp_ntz")
-    first = _orders(s, d, EARLIER, orders.where(F.col("o_orderdate") < cut))[1]
-    again = _orders(s, d, RUN, orders.where(F.col("o_orderkey") % 2 == 0))[1]
-    state = diff(s.createDataFrame([], VIOLATIONS), first, EARLIER.run_timestamp)
-    return diff(state, again, RUN.run_timestamp)
+    """Two ranges of dates that have some in common and all together."""
+    state = diff(s.createDataFrame([], VIOLATIONS), _orders(s, d, EARLIER, _dated(s, d, "o_orderdate < '1999-06-17'"))[1], EARLIER.run_timestamp)
+    return diff(state, _orders(s, d, RUN, _dated(s, d, "o_orderdate >= '1996-06-17'"))[1], RUN.run_timestamp)
 
 
-_A, _B = _keys_sql("o_orderdate < timestamp '1995-06-17'"), _keys_sql("o_orderkey % 2 = 0")
+def _dated(s: SparkSession, d: str, where: str) -> DataFrame:
+    return _t(s, d, "orders").where(where)
+
+
+_A, _B = _keys_sql("o_orderdate < timestamp '1999-06-17'"), _keys_sql("o_orderdate >= timestamp '1996-06-17'")
 _SAME = " and ".join(f"a.{k} is not distinct from b.{k}" for k in ("rule_id", *KEYS))
 _LIFE = f"with a as ({_A}), b as ({_B}), j as (select coalesce(a.rule_id, b.rule_id) as rule_id, {', '.join(f'coalesce(a.{k}, b.{k}) as {k}' for k in KEYS)}, a.rule_id is not null as old, b.rule_id is not null as now from a full join b on {_SAME}) select rule_id, {', '.join(KEYS)}, case when now then 'Active' else 'Resolved' end as issue_status, case when old then 'run-1' else 'run-2' end as first_seen from j"
 
@@ -255,6 +289,18 @@ def _life(s: SparkSession, d: str) -> DataFrame:
 
 
 _add("lifecycle_history", _LIFE, _life)
+
+
+def _reopened(s: SparkSession, d: str) -> DataFrame:
+    """A third run that finds the first one's violations again, each of them twice: what had been
+    resolved opens a new episode beside its history."""
+    found = _orders(s, d, LATER, _dated(s, d, "o_orderdate < '1999-06-17'"))[1]
+    state = diff(_two_runs(s, d), found.unionByName(found), LATER.run_timestamp)
+    seen = F.element_at(F.create_map(*[x for r in (EARLIER, RUN, LATER) for x in (F.lit(r.run_timestamp), F.lit(r.run_id))]), F.col("first_seen_at").cast("timestamp"))
+    return state.select("rule_id", *KEYS, "issue_status", seen.alias("first_seen"))
+
+
+_add("lifecycle_reopened", f"with h as ({_LIFE}), c as ({_A}) select rule_id, {', '.join(KEYS)}, 'Resolved' as issue_status, first_seen from h where issue_status = 'Resolved' union all select coalesce(a.rule_id, b.rule_id) as rule_id, {', '.join(f'coalesce(a.{k}, b.{k}) as {k}' for k in KEYS)}, case when b.rule_id is not null then 'Active' else 'Resolved' end, coalesce(a.first_seen, 'run-3') from (select * from h where issue_status = 'Active') a full join c b on {_SAME}", _reopened)
 _add("lifecycle_new", f"select * from ({_LIFE}) where issue_status = 'Active' and first_seen = 'run-2'", lambda s, d: _life(s, d).where("issue_status = 'Active' and first_seen = 'run-2'"))
 _add("lifecycle_still_active", f"select * from ({_LIFE}) where issue_status = 'Active' and first_seen = 'run-1'", lambda s, d: _life(s, d).where("issue_status = 'Active' and first_seen = 'run-1'"))
 _add("lifecycle_resolved", f"select * from ({_LIFE}) where issue_status = 'Resolved'", lambda s, d: _life(s, d).where("issue_status = 'Resolved'"))

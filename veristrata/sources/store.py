@@ -28,8 +28,23 @@ def safe_name(name: str, setting: str = "table name") -> str:
     return name
 
 
+# The configuration keys that catalogs' users know, all of them required if one is given.
+LONG_KEYS = {"DEFAULT_SCHEMA": "schema", "DQ_RESULTS_TABLE": "results_table", "DQ_VIOLATIONS_TABLE": "violations_table", "DQ_EXECUTION_METRICS_TABLE": "metrics_table"}
+
+
 def resolve_targets(config: Mapping[str, str]) -> dict[str, str]:
-    """Full names of the three output tables; names without a dot go to the schema."""
+    """Full names of the three output tables; names without a dot go to the schema. Short keys
+    may be left out, long ones not; an unknown key or a mixture is an error."""
+    if not isinstance(config, Mapping):
+        raise TypeError("the configuration must be a mapping")
+    if set(config) & set(LONG_KEYS):
+        if missing := sorted(set(LONG_KEYS) - set(config)):
+            raise ValueError(f"configuration keys are missing: {', '.join(missing)}")
+        if unknown := sorted(map(str, set(config) - set(LONG_KEYS))):
+            raise ValueError(f"unknown configuration keys: {', '.join(unknown)}")
+        config = {LONG_KEYS[k]: safe_name(v, k) for k, v in config.items()}
+    if unknown := sorted(map(str, set(config) - {"schema", *OUTPUTS})):
+        raise ValueError(f"unknown configuration keys: {', '.join(unknown)}")
     schema = safe_name(config["schema"], "schema") if config.get("schema") else None
     names = {k: safe_name(config.get(k) or f"dq_{k.removesuffix('_table')}", k) for k in OUTPUTS}
     return {k: v if "." in v or not schema else f"{schema}.{v}" for k, v in names.items()}
@@ -53,6 +68,18 @@ def align(df: DataFrame, schema: StructType) -> DataFrame:
 class MetastoreStore:
     def __init__(self, spark: SparkSession, provider: str = "parquet"):
         self.spark, self.provider = spark, provider
+        self._scratch: list[str] = []
+
+    def scratch(self, df: DataFrame) -> DataFrame:
+        """df, computed and written, until clear_scratch()."""
+        name = f"dq_scratch_{uuid.uuid4().hex}"
+        self._scratch.append(name)
+        df.write.format(self.provider).saveAsTable(name)
+        return self.spark.table(name)
+
+    def clear_scratch(self) -> None:
+        while self._scratch:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._scratch.pop()}")
 
     def _recover(self, name: str) -> None:
         """Finish what a replacement that died between two steps left: without a table the one
@@ -111,6 +138,18 @@ class SnapshotStore:
         self.spark, self.root = spark, root.rstrip("/")
         self._Path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._scratch: list[str] = []
+
+    def scratch(self, df: DataFrame) -> DataFrame:
+        """df, computed and written, until clear_scratch()."""
+        path = f"{self.root}/scratch-{uuid.uuid4().hex}"
+        self._scratch.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear_scratch(self) -> None:
+        while self._scratch:
+            self._fs.delete(self._Path(self._scratch.pop()), True)
 
     def _leaves(self, name: str, start: str) -> list[str]:
         base = self._Path(f"{self.root}/{name}")
