@@ -81,11 +81,11 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+def materialise(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """Cut the lineage: write df as a table in the shared folder and read it back."""
     spark = df.sparkSession
     path = new_path(spark, tag)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._veristrata_path = path
     return out

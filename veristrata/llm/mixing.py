@@ -181,11 +181,11 @@ def taken(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, seed: int = SEED, leaf: int = LEAF) -> DataFrame:
     """The mix as documents, by output shard and shuffled in it: columns of docs, a row for each
     whole pass over a document and one for what each shard draws of it, those blocks in their
-    order in the text; n_chars follows the text. Partitions hold whole shards in order, so
-    files written from them are the shards in training order. Texts without words come once
+    order in the text; n_chars follows the text. Partitions hold whole shards, each in the order
+    of its slots, so a file written from one reads shard after shard. Texts without words come once
     for each whole pass, as they are; an empty table gives no rows."""
     src = docs.select(F.monotonically_increasing_id().alias("rid"), "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
-    src = materialise(src, "mix")
+    src = materialise(src, "mix", compression="zstd")
     key = F.xxhash64("row.doc_id", "row.source", "text").alias("key")
     sized = src.select("rid", key, "row.source", word_count(F.col("text")).alias("size"))
     whole, drawn, shards = mix(sized, seed=seed, leaf=leaf)
@@ -198,6 +198,6 @@ def mixed_documents(docs: DataFrame, seed: int = SEED, leaf: int = LEAF) -> Data
     rows = src.join(places, "rid").withColumn("p", F.explode("p")).select("rid", "text", "row", "p.*")
     found = r"regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0)"
     text = F.expr(f"if(span is null, text, array_join(flatten(transform(array({found}), p -> flatten(transform(span, s -> slice(p, cast(s.first + 1 as int), cast(s.words as int)))))), ''))")
-    rows = rows.select("row", text.alias("text"), "shard", "slot", "rid").repartitionByRange("shard").sortWithinPartitions("shard", "slot", "rid")
+    rows = rows.select("row", text.alias("text"), "shard", "slot", "rid").repartition("shard").sortWithinPartitions("shard", "slot", "rid")
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return rows.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
