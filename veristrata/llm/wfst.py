@@ -41,7 +41,7 @@ BLANK = "▁"
 UNIGRAM, PAIRS = 1, 2
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Parts and pairs that a worker remembers before it starts anew.
-MEMORY, PAIR_MEMORY, LONG_PART = 250_000, 300_000, 64
+MEMORY, PAIR_MEMORY, LONG_PART = 400_000, 500_000, 64
 #: Characters whose arcs are remembered together, and how many of such strings.
 HEAD, HEADS = 4, 50_000
 #: Bits of a character or symbol in a key; symbols are piece ids, then characters.
