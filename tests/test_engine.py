@@ -3,6 +3,7 @@
 import random
 import time
 from datetime import datetime
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -351,6 +352,17 @@ def test_command_line(spark, items, tmp_path, capsys):
     assert spark.table("cli_db.dq_violations").count() == 2 and not [t.name for t in spark.catalog.listTables() if t.name.startswith("dq_scratch")]
 
 
+def test_example_catalog(spark):
+    folder = Path(__file__).resolve().parents[1] / "examples"
+    config = yaml.safe_load((folder / "config.yaml").read_text())
+    for name in config["views"]:
+        spark.read.parquet(f"{SF}/{name}.parquet").createOrReplaceTempView(name)
+    sources = {k: (folder / v).read_text() for k, v in config["catalogs"].items()}
+    assert preflight(spark, sources, config["tables"], config["settings"]) == {"orders": 7}
+    (catalog,) = load_catalogs(sources)
+    assert {r.status for r in Engine(spark).validate(catalog, RunContext("one", NOW))[0].collect()} <= {"PASSED", "FAILED"}
+
+
 class Crash(Exception):
     pass
 
