@@ -20,7 +20,7 @@ and the tropical-semiring shortest path to the end is the encoding. The composed
 (position, grammar state); every arc leads to a later position. For unigram models they are
 relaxed in the order of positions, and of paths of equal weight the one with the longer last
 piece wins. For merged pairs all finite weights are 0: Dijkstra's search goes on from the
-furthest state that is settled and weighs a grammar arc only when it comes up.
+state settled last, by its longest arc, and weighs a grammar arc only when it comes up.
 
 The input is cut where no piece can cross, so that paths of the whole are paths of the parts
 one after the other: before a blank that follows another character, around line ends if no
@@ -86,8 +86,11 @@ class _Parts(dict):
     def __missing__(self, part: str):
         ids = self.older.get(part)
         if ids is None:
-            cuts = [i for i, x in enumerate(map(str.__add__, part, part[1:]), 1) if x not in self.inside]  # no piece holds both
-            ids = b"".join([self[part[i:j]] for i, j in pairwise([0, *cuts, len(part)])]) if cuts else self.find(part)
+            if self.inside.issuperset(map(str.__add__, part, part[1:])):
+                ids = self.find(part)
+            else:
+                cuts = [i for i, x in enumerate(map(str.__add__, part, part[1:]), 1) if x not in self.inside]  # no piece holds both
+                ids = b"".join([self[part[i:j]] for i, j in pairwise([0, *cuts, len(part)])])
         if len(part) <= LONG_PART:
             if 2 * len(self) >= MEMORY:
                 self.older = dict(self)
@@ -153,24 +156,28 @@ class Pieces:
             out.insert(0, (1, self.size + ord(s[0])))
         return tuple(out), state
 
-    def arcs(self, s: str, at: int) -> list[tuple[int, int]]:
-        """(end, symbol) of the paths from the start back to it that read s from at, shortest first."""
+    def steps(self, s: str, at: int) -> tuple[tuple[int, int], ...]:
+        """(length, symbol) of the paths from the start back to it that read s from at, shortest first."""
         found = self.heads.get(key := s[at : at + HEAD])
         if found is None:
             if len(self.heads) >= HEADS:
                 self.heads.clear()
             found = self.heads[key] = self.head(key)
-        out = [(at + k, x) for k, x in found[0]]
-        if (state := found[1]) is not None:
+        out, state = found
+        if state is not None:
             follow, final = self.next.get, self.final
-            for e, c in enumerate(s[at + HEAD : at + self.longest], at + HEAD + 1):
+            for k, c in enumerate(s[at + HEAD : at + self.longest], HEAD + 1):
                 state = follow(state << SHIFT | ord(c))
                 if state is None:
                     break
                 if (i := final[state]) >= 0:
-                    out.append((e, i))
+                    out = (*out, (k, i))
         return out
 
+    def arcs(self, s: str, at: int) -> list[tuple[int, int]]:
+        """The same with ends instead of lengths."""
+        return [(at + k, x) for k, x in self.steps(s, at)]
+
     def weigh(self, symbol: int) -> float:
         return self.weight[symbol] if symbol < self.size else self.fallback
 
@@ -280,9 +287,9 @@ class Transducer:
         best[0] = (0.0, 0, NONE)
         for at in range(n):  # positions are in topological order
             weight = best[at][0]
-            for e, x in machine.arcs(s, at):
-                if (w := weight + machine.weigh(x)) < best[e][0]:
-                    best[e] = (w, at, x)
+            for k, x in machine.steps(s, at):
+                if (w := weight + machine.weigh(x)) < best[at + k][0]:
+                    best[at + k] = (w, at, x)
         out, at = [], n
         while at:
             _, before, x = best[at]
@@ -292,25 +299,23 @@ class Transducer:
 
     def _by_distance(self, s: str, grammar: Bigrams) -> tuple[float, list[int]]:
         """All finite weights are 0, so of the arcs that wait Dijkstra's search may take any: the
-        one with the furthest end. Its grammar arc is weighed only then."""
-        n, arcs, known = len(s), self.machine.arcs, grammar.known.get
+        longest from the state settled last. Its grammar arc is weighed only then."""
+        n, steps, known = len(s), self.machine.steps, grammar.known.get
         symbols, back = [NONE], [0]  # of the states that are settled
-        waiting: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]  # by end
+        waiting: list[tuple[int, int, int]] = []  # end, symbol, from which state
         settled, at, here = set(), 0, 0
         while at < n:
-            for top, x in arcs(s, at):
-                waiting[top].append((x, here))
+            for k, x in steps(s, at):
+                waiting.append((at + k, x, here))
             while True:
-                while not waiting[top]:
-                    top -= 1
-                x, before = waiting[top].pop()
+                end, x, before = waiting.pop()
                 weight = known(symbols[before] << SHIFT | x)
                 if weight is None:
                     weight = grammar.arc(symbols[before], x)
-                if weight == 0 and (top << SHIFT | x) not in settled:
+                if not weight and (state := end << SHIFT | x) not in settled:
                     break
-            settled.add(top << SHIFT | x)
-            at, here = top, len(symbols)
+            settled.add(state)
+            at, here = end, len(symbols)
             symbols.append(x)
             back.append(before)
         out = []
