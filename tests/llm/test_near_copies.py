@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_operators import SF, groups
 
@@ -106,3 +107,51 @@ def test_rows_are_judged_one_by_one(spark):
     nothing = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in p.STAGES:
         assert stage(spark, nothing, SF).count() == 0, name
+
+
+def test_common_in_a_share_of_the_texts(spark, monkeypatch):
+    """What is common does not depend on how many texts there are."""
+    common.prepare(spark)
+    monkeypatch.setattr(near_copies, "SAMPLE", 10)
+    r = random.Random(13)
+    words = [f"w{i}" for i in range(5000)]
+    line = r.choices(words, k=9)
+    for n in (500, 2000):
+        texts = [" ".join(r.choices(words, k=12) + (line if i % (n // 100) == 0 else [])) for i in range(n)]
+        docs = spark.createDataFrame([(t.encode(),) for t in texts], "text binary")
+        shingles = near_copies.shingles(" ".join(line).encode())
+        assert set(shingles.tolist()) <= set(near_copies.common_shingles(docs).tolist()), n
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 7, 1000])
+def test_met(rows):
+    r = random.Random(rows)
+    h = sorted(x for k in range(60) for x in [k] * r.choice((1, 1, 2, 3, 4, 5, 20)))
+    batches = [pa.RecordBatch.from_arrays([pa.array(h[i : i + rows], pa.int64()), pa.array(range(i, min(i + rows, len(h))), pa.int64())], ["h", "node"]) for i in range(0, len(h), rows)]
+    got = [tuple(x.values()) for b in near_copies._met(3)(iter(batches)) for x in b.to_pylist()]
+    assert got == [(x, i, h.count(x) > 3) for i, x in enumerate(h) if h.count(x) > 1]
+    assert not list(near_copies._met(3)(iter([])))
+
+
+def test_long_lists(monkeypatch):
+    """Pairs of a list against every pair, in chunks of any size; connected ones are left out."""
+    r = np.random.default_rng(8)
+    base = [r.integers(0, 2**63, int(k)) for k in r.integers(1, 60, 12)]
+    found = [np.unique(np.r_[b[int(r.integers(0, len(b) // 6 + 1)) :], r.integers(0, 2**63, int(r.integers(0, 3)))].astype(np.uint64)) for b in base for _ in range(8)]
+    found.append(np.zeros(0, np.uint64))
+    n = np.array([len(s) for s in found])
+    counts = np.stack([np.bincount(s & np.uint64(255), minlength=256) for s in found]).astype(np.uint8)
+    node, comp = r.permutation(len(n)), r.integers(0, 20, len(n))
+
+    def passes(i, j):
+        return (comp[i] != comp[j]) and max(np.abs(counts[i].astype(int) - counts[j]).sum(), abs(n[i] - n[j])) * 9 <= n[i] + n[j]
+
+    every = {frozenset((int(node[i]), int(node[j]))) for i in range(len(n)) for j in range(i) if passes(i, j)}
+    assert len(every) > 100
+    for chunk in (1, 50, 20_000):
+        monkeypatch.setattr(near_copies, "CHUNK", chunk)
+        got = {how: [frozenset((int(a), int(b))) for u, v in near_copies.long_pairs(node, n, comp, counts, how) for a, b in zip(u, v, strict=True)] for how in near_copies.ROUNDS}
+        assert len(got["all"]) == len(every) and set(got["all"]) == every
+        assert set(got["nearest"]) < every and set(got["leader"]) < every
+        assert {x for p in got["nearest"] for x in p} == {x for p in every for x in p}
+        assert len(got["leader"]) < len(n)

@@ -1,16 +1,18 @@
 """Groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 At 0.8 two 64-bit SimHashes differ in about 10 bits, as far as no index of their bytes can
-be complete, so candidates come from the sets themselves. Shingles are put in one order for
-all texts. Sets of similarity 0.8 share a shingle among the first n - ceil(0.8 n) + 1 of
-each (prefix filter), hence every such pair meets in a posting list. The order is by hash,
-shingles that a sample shows to be common last; a poor sample makes lists longer and never
-loses a pair.
+be complete, so candidates come from the sets themselves.
+   Shingles are put in one order for all texts. Sets of similarity 0.8 share a shingle among
+   the first n - ceil(0.8 n) + 1 of each (prefix filter), hence every such pair meets in a
+   posting list. The order is by hash, shingles that a sample shows to be common last; a poor
+   sample makes lists longer and never loses a pair. The sample is a share of the texts, so
+   that the same lengths are common in a corpus of any size.
 
 Shingles counted in 256 buckets bound a pair from above: the counts differ by no more than
 the sets do. Pairs within the bound are compared exactly. Lists longer than ``SHORT`` first
-link each text to a leader within the bound; later rounds compare only what is not
-connected yet, so a large group of near copies costs a pair a text, not all its pairs.
+link each text to a leader within the bound; later rounds take only lists that are not
+connected yet, and in them only pairs that are not, so a large group of near copies costs a
+pair a text, not all its pairs.
 """
 
 from __future__ import annotations
@@ -34,16 +36,19 @@ SEED, WORDS = 42, 5
 #: Similarity of at least NUM / DEN.
 NUM, DEN = 4, 5
 BUCKETS, COARSE = 256, 64
-#: Texts of the sample, and in how many of them a shingle is common.
-SAMPLE, COMMON = 20_000, 8
+#: Share of the texts in the sample, and how many at least; in about how many of all texts a
+#: shingle is common; common shingles that are held at most, those in most texts.
+SHARE, SAMPLE, COMMON, MOST = 1 / 8, 20_000, 20, 2_000_000
 SHORT, NEAREST = 16, 3
+#: Texts to compare that are looked up in memory, at most; more are joined by sorting.
+FEW = 1_000_000
 #: Bytes of text that are hashed at a time, and shingles of the texts compared last that are held.
 PIECE, HELD = 1 << 20, 1 << 22
 #: An odd number with about as many ones as zeros.
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 #: Pairs whose counts are compared at a time.
 CHUNK = 20_000
-ROUNDS = ("leader", "nearest", "nearest", "all")
+ROUNDS = ("leader", "nearest", "all")
 
 
 def _scatter(x: np.ndarray) -> np.ndarray:
@@ -131,16 +136,25 @@ def prefix(s: np.ndarray, common: np.ndarray) -> np.ndarray:
     return s[:size]
 
 
-def possible(n: np.ndarray, counts: np.ndarray, i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Those of the others that can be similar to i, and how far their counts are apart. A
-    similarity of t needs a symmetric difference of at most (1 - t) / (1 + t) of both sizes."""
-    apart = np.zeros(len(others), np.int64)
-    for by in (COARSE, BUCKETS):
-        x = counts[np.r_[i, others]].reshape(len(others) + 1, -1, by).sum(1, dtype=np.int32)
-        apart = np.maximum(np.abs(x[1:] - x[0]).sum(1), np.abs(n[others] - n[i]))
-        keep = apart * (DEN + NUM) <= (n[others] + n[i]) * (DEN - NUM)
-        others, apart = others[keep], apart[keep]
-    return others, apart
+def folded(counts: np.ndarray) -> list[np.ndarray]:
+    """Counts in COARSE and in BUCKETS buckets."""
+    return [counts.reshape(len(counts), BUCKETS // by, by).sum(1, dtype=np.int16) for by in (COARSE, BUCKETS)]
+
+
+def possible(n: np.ndarray, counts: np.ndarray | list[np.ndarray], i: int | np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of the others that can be similar to i (one row, or a row for each of them), how far
+    their counts are apart, and i for each. counts: as they are or folded. A similarity of t needs
+    a symmetric difference of at most (1 - t) / (1 + t) of both sizes."""
+    i = np.broadcast_to(i, others.shape)
+    apart, most = np.abs(n[i] - n[others]), (n[i] + n[others]) * (DEN - NUM)
+    keep = apart * (DEN + NUM) <= most
+    i, others, apart, most = i[keep], others[keep], apart[keep], most[keep]
+    for x in counts if isinstance(counts, list) else folded(counts):
+        far = [np.abs(x[i[k : k + CHUNK]] - x[others[k : k + CHUNK]]).sum(1, dtype=np.int64) for k in range(0, len(i), CHUNK)]
+        apart = np.maximum(apart, np.concatenate([np.zeros(0, np.int64), *far]))
+        keep = apart * (DEN + NUM) <= most
+        i, others, apart, most = i[keep], others[keep], apart[keep], most[keep]
+    return others, apart, i
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +169,7 @@ def _profiles(common: np.ndarray):
             found = sets(b.column(2).to_pylist())
             node = [xxhash.xxh3_64_intdigest(s.tobytes(), SEED) for s in found]
             counts = [np.minimum(np.bincount(s & np.uint64(BUCKETS - 1), minlength=BUCKETS), 255).astype(np.uint8).tobytes() for s in found]
-            cols = [pa.array(np.array(node, np.uint64).view(np.int64)), pa.array([len(s) for s in found], pa.int64()), pa.array(counts, pa.binary())]
+            cols = [*(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node,)), pa.array([len(s) for s in found], pa.int64()), pa.array(counts, pa.binary())]
             first = [np.zeros(0, np.int64), *(prefix(s, common).view(np.int64) for s in found)]
             first = pa.ListArray.from_arrays(pa.array(np.cumsum([len(s) for s in first]), pa.int32()), pa.array(np.concatenate(first)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), *cols, first], ["doc_id", "tkey", "rid", "node", "n", "counts", "first"])
@@ -178,47 +192,77 @@ def _whole_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield rows.iloc[:last]
 
 
+def _met(short: int):
+    """Of a partition sorted by h, the lists of two or more texts, and whether they have more than
+    short. No more is held than a batch and the first rows of its last list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, node, going = np.zeros(0, np.int64), np.zeros(0, np.int64), None  # going: a long list whose rows are being written
+        for b in chain(batches, [None]):
+            if b is not None:
+                h, node = (np.concatenate([x, c.to_numpy()]) for x, c in zip((h, node), b.columns, strict=True))
+            if not len(h):
+                continue
+            cuts = np.r_[0, np.flatnonzero(h[1:] != h[:-1]) + 1, len(h)]
+            size = np.diff(cuts)
+            is_long = size > short
+            is_long[0] |= h[0] == going
+            known = is_long | (size > 1)
+            if b is not None:
+                going = h[-1] if is_long[-1] else None
+                known[-1] = is_long[-1]
+            keep = np.repeat(known, size)
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(node[keep]), pa.array(np.repeat(is_long, size)[keep])], ["h", "node", "long"])
+            rest = len(h) if b is None or is_long[-1] else cuts[-2]
+            h, node = h[rest:], node[rest:]
+
+    return run
+
+
 def short_pairs(size: np.ndarray, node: np.ndarray, n: np.ndarray, comp: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All possible pairs (rows i, j) of short lists, which follow each other and have these sizes."""
     before = np.arange(len(n)) - np.repeat(np.cumsum(size) - size, size)  # rows of the list before each
     j = np.repeat(np.arange(len(n)), before)
     i = np.arange(len(j)) - np.repeat(np.cumsum(before) - before, before) + np.repeat(np.arange(len(n)) - before, before)
-    most = (n[i] + n[j]) * (DEN - NUM)
-    keep = (comp[i] != comp[j]) & (np.abs(n[i] - n[j]) * (DEN + NUM) <= most)
-    i, j, most = i[keep], j[keep], most[keep]
-    for by in (COARSE, BUCKETS):
-        x = counts.reshape(len(n), BUCKETS // by, by).sum(1, dtype=np.int16)
-        keep = np.concatenate([np.zeros(0, bool), *(np.abs(x[i[k : k + CHUNK]] - x[j[k : k + CHUNK]]).sum(1, dtype=np.int32) * (DEN + NUM) <= most[k : k + CHUNK] for k in range(0, len(i), CHUNK))])
-        i, j, most = i[keep], j[keep], most[keep]
+    keep = comp[i] != comp[j]
+    j, _, i = possible(n, counts, i[keep], j[keep])
     return i, j
 
 
-def long_pairs(node: np.ndarray, n: np.ndarray, comp: np.ndarray, counts: np.ndarray, how: str) -> tuple[list[int], list[int]]:
+def long_pairs(node: np.ndarray, n: np.ndarray, comp: np.ndarray, counts: np.ndarray, how: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Candidate pairs of one list that are not connected yet: all, those of the nearest texts, or
-    one leader a text."""
-    us, vs = [], []
-    by = np.lexsort((node, n))
-    node, n, comp, counts = node[by], n[by], comp[by], counts[by]
+    one leader a text. Rows are taken in the order of their sizes, about ``CHUNK`` pairs at a time."""
     if (comp == comp[0]).all():
-        return us, vs
-    if how != "leader":
-        ends = np.searchsorted(n * NUM, n * DEN, "right")
-        for i in range(len(n) - 1):
-            others = np.arange(i + 1, ends[i])
-            others, apart = possible(n, counts, i, others[comp[others] != comp[i]])
-            if how == "nearest" and len(others) > NEAREST:
-                others = others[np.argsort(apart, kind="stable")[:NEAREST]]
-            us += [node[i]] * len(others)
-            vs += node[others].tolist()
-    else:
-        left = np.arange(len(n))
-        while len(left):
-            i, left = left[0], left[1:]
-            near, _ = possible(n, counts, i, left)
-            us += [node[i]] * len(near)
-            vs += node[near].tolist()
-            left = np.setdiff1d(left, near, assume_unique=True)
-    return us, vs
+        return
+    by = np.lexsort((node, n))
+    node, n, comp, x = node[by], n[by], comp[by], folded(counts[by])
+    ahead = np.searchsorted(n * NUM, n * DEN, "right") - np.arange(len(n)) - 1  # rows behind each that are near in size
+    ahead = np.maximum(ahead, 0)  # a text without words
+    total, free, at = np.cumsum(ahead), np.ones(len(n), bool), 0  # free: without a leader
+    while at < len(n):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + CHUNK, "right")))
+        rows = np.arange(at, end)
+        if how == "leader":
+            rows = rows[free[at:end]]
+        some, at = ahead[rows], end
+        i = np.repeat(rows, some)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(some) - some, some) + i + 1
+        keep = comp[i] != comp[j]
+        if how == "leader":
+            keep &= free[j]
+        j, apart, i = possible(n, x, i[keep], j[keep])
+        if how == "leader":
+            led = np.zeros(len(i), bool)
+            for k, (a, b) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
+                if free[a] and free[b]:
+                    led[k], free[b] = True, False
+            i, j = i[led], j[led]
+        elif how == "nearest":
+            order = np.lexsort((j, apart, i))
+            i, j = i[order], j[order]
+            rank = np.arange(len(i)) - np.searchsorted(i, i, "left")
+            i, j = i[rank < NEAREST], j[rank < NEAREST]
+        yield node[i], node[j]
 
 
 def _pairs(how: str):
@@ -236,9 +280,8 @@ def _pairs(how: str):
             yield pd.DataFrame({"u": node[some][i], "v": node[some][j]}, dtype="int64")
             for k in np.nonzero(size > SHORT)[0].tolist():
                 at = slice(int(cuts[k]), int(cuts[k + 1]))
-                us, vs = long_pairs(node[at], n[at], comp[at], counts[at], how)
-                for m in range(0, len(us), 100_000):
-                    yield pd.DataFrame({"u": us[m : m + 100_000], "v": vs[m : m + 100_000]}, dtype="int64")
+                for u, v in long_pairs(node[at], n[at], comp[at], counts[at], how):
+                    yield pd.DataFrame({"u": u, "v": v}, dtype="int64")
         give_back()
 
     return run
@@ -269,15 +312,25 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _links(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs that are similar."""
     ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    ends = classes.join(ends, "node", "left_semi").select("node", "tkey")
-    some = texts.join(ends, "tkey").groupBy("node").agg(F.min("text").alias("text"))
+    ends = materialise(classes.join(ends, "node", "left_semi").select("node", "tkey"), "ends")
+    some = texts.join(F.broadcast(ends) if ends.count() <= FEW else ends, "tkey").groupBy("node").agg(F.min("text").alias("text"))
     some = materialise(some, "texts")
     a, b = some.select(F.col("node").alias("u"), F.col("text").alias("x")), some.select(F.col("node").alias("v"), F.col("text").alias("y"))
     out = materialise(pairs.join(a, "u").join(b, "v").select("u", "v", "x", "y").mapInArrow(_verify, "u long, v long"), "links")
-    discard(some)
+    discard(ends, some)
     return out
 
 
+def common_shingles(texts: DataFrame) -> np.ndarray:
+    """Sorted shingles that a sample of the texts shows to be common."""
+    n = texts.count()
+    share = min(1.0, max(SHARE, SAMPLE / max(1, n)))
+    some = texts.select("text").sample(share, SEED).distinct()
+    often = some.mapInArrow(_hashes, "h long").groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") >= max(2, round(COMMON * share)))
+    found = often.orderBy(F.desc("c"), "h").limit(MOST).select("h").toPandas()["h"]
+    return np.sort(found.to_numpy(np.int64).view(np.uint64))
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """One row per row of docs (rid, unique; doc_id; text): rid, doc_id, tkey (xxhash64 of the
     text), node (64-bit hash of its set of shingles) and component (smallest node that links
@@ -285,33 +338,26 @@ def near_copies(docs: DataFrame) -> DataFrame:
     Repeated rows have one node; an empty table gives no rows; other columns are not read."""
     body = F.coalesce(F.col("text"), F.lit(""))
     texts = docs.select(F.xxhash64(body).alias("tkey"), utf8(F.col("text")).alias("text"))
-    n = docs.count()
-    sample = texts.select("text").sample(min(1.0, SAMPLE / max(1, n)), SEED).mapInArrow(_hashes, "h long")
-    often = sample.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") >= COMMON).select("h").toPandas()["h"]
-    common = np.sort(often.to_numpy(np.int64).view(np.uint64))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("tkey"), utf8(F.col("text")).alias("text"), "rid")
-    rows = materialise(rows.mapInArrow(_profiles(common), "doc_id long, tkey long, rid long, node long, n long, counts binary, first array<long>"), "profiles")
+    rows = materialise(rows.mapInArrow(_profiles(common_shingles(texts)), "doc_id long, tkey long, rid long, node long, n long, counts binary, first array<long>"), "profiles")
     classes = rows.groupBy("node").agg(F.min(F.struct("tkey", "n", "counts", "first")).alias("r")).select("node", "r.*")
     classes = materialise(classes, "classes")
-    posts = classes.select(F.explode("first").alias("h"), "node")
-    many = materialise(posts.groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "lists")
-    met = materialise(posts.join(many, "h"), "posts")
-    comp, found = None, []
+    posts = classes.select(F.explode("first").alias("h"), "node").repartition("h").sortWithinPartitions("h")
+    met = materialise(posts.mapInArrow(_met(SHORT), "h long, node long, long boolean"), "posts")
+    comp, found = classes.select("node", F.col("node").alias("root")), []
     for how in ROUNDS:
-        lists = met if comp is None else met.where(F.col("c") > SHORT)
-        lists = lists.join(classes.select("node", "n", "counts"), "node")
-        if comp is None:
-            lists = lists.withColumn("comp", F.col("node"))
-        else:
-            lists = lists.join(comp, "node", "left").withColumn("comp", F.coalesce("root", "node"))
-        lists = lists.select("h", "node", "n", "comp", "counts").repartition("h").sortWithinPartitions("h")
-        pairs = lists.mapInPandas(_pairs(how), "u long, v long").where("u <> v")
+        lists = met if how == ROUNDS[0] else met.where("long")
+        lists = materialise(lists.join(comp, "node", "left").select("h", "node", F.coalesce("root", "node").alias("comp")), "lists")
+        apart = lists.groupBy("h").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("h")
+        here = lists.join(apart, "h", "left_semi").join(classes.select("node", "n", "counts"), "node")
+        here = here.select("h", "node", "n", "comp", "counts").repartition("h").sortWithinPartitions("h")
+        pairs = here.mapInPandas(_pairs(how), "u long, v long").where("u <> v")
         pairs = materialise(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
-        if comp is None or not pairs.isEmpty():
+        if not pairs.isEmpty():
             found.append(_links(texts, classes, pairs))
             comp = connected_components(reduce(DataFrame.union, found))
-        discard(pairs)
+        discard(lists, pairs)
     out = rows.join(comp, "node", "left").select("rid", "doc_id", "tkey", "node", F.coalesce("root", "node").alias("component"))
     out = materialise(out, "near")
-    discard(rows, classes, many, met, *found)
+    discard(rows, classes, met, *found)
     return out
