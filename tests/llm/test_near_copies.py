@@ -10,7 +10,7 @@ import pytest
 from test_operators import SF, groups
 
 import corpus_pipeline as p
-from veristrata.llm import common, near_copies
+from veristrata.llm import common, near_copies, simhash
 
 
 def jaccard(a: str, b: str) -> float:
@@ -109,6 +109,36 @@ def test_rows_are_judged_one_by_one(spark):
         assert stage(spark, nothing, SF).count() == 0, name
 
 
+def test_fingerprints_link_first(spark, monkeypatch):
+    """With no rounds over lists of shingles, the index of fingerprint bytes connects the texts that
+    are similar and whose fingerprints differ in 3 or fewer bits, and no others."""
+    common.prepare(spark)
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(15):
+        base = r.choices(words, k=300)
+        for k in (0, 1, 1, 25):
+            w = list(base)
+            for _ in range(k):
+                w[r.randrange(len(w))] = r.choice(words)
+            texts.append(" ".join(w))
+    found = near_copies.sets([t.encode() for t in texts])
+    fps = []
+    for s in found:
+        ones = [sum(int(h) >> b & 1 for h in s) for b in range(64)]
+        fps.append(sum(1 << b for b in range(64) if 2 * ones[b] > len(s)))
+    assert fps == [simhash.majority(s) for s in found]
+    n = len(texts)
+    near = [(i, j) for i in range(n) for j in range(i + 1, n) if (fps[i] ^ fps[j]).bit_count() <= 3 and jaccard(texts[i], texts[j]) >= 0.8]
+    want = groups(near, range(n))
+    assert len(near) >= 10
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(near_copies, "ROUNDS", ())
+    got = {x.doc_id: x.component for x in near_copies.near_copies(docs.withColumn("rid", docs.doc_id)).collect()}
+    assert {frozenset(i for i in got if got[i] == c) for c in set(got.values())} == {frozenset(i for i in want if want[i] == c) for c in set(want.values())}
+
+
 def test_common_in_a_share_of_the_texts(spark, monkeypatch):
     """What is common does not depend on how many texts there are."""
     common.prepare(spark)

@@ -1,7 +1,11 @@
 """Groups of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-At 0.8 two 64-bit SimHashes differ in about 10 bits, as far as no index of their bytes can
-be complete, so candidates come from the sets themselves.
+1. SimHash. Each set gets a fingerprint; the inverted index of fingerprint bytes with its count
+   filter (``simhash``) finds those at 3 or fewer differing bits, and equal ones are candidates
+   as well. Candidates are compared exactly. This connects the closest copies, so that large
+   groups have few components when the next step comes to them.
+2. The rest. At 0.8 two 64-bit SimHashes differ in about 10 bits, as far as no index of their
+   bytes can be complete, so what the first step left apart is found from the sets themselves.
    Shingles are put in one order for all texts. Sets of similarity 0.8 share a shingle among
    the first n - ceil(0.8 n) + 1 of each (prefix filter), hence every such pair meets in a
    posting list. The order is by hash, shingles that a sample shows to be common last; a poor
@@ -29,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import discard, give_back, materialise, utf8
 from .components import connected_components
 
@@ -169,10 +174,11 @@ def _profiles(common: np.ndarray):
             found = sets(b.column(2).to_pylist())
             node = [xxhash.xxh3_64_intdigest(s.tobytes(), SEED) for s in found]
             counts = [np.minimum(np.bincount(s & np.uint64(BUCKETS - 1), minlength=BUCKETS), 255).astype(np.uint8).tobytes() for s in found]
-            cols = [*(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node,)), pa.array([len(s) for s in found], pa.int64()), pa.array(counts, pa.binary())]
+            fp = [simhash.majority(s) for s in found]
+            cols = [*(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (node, fp)), pa.array([len(s) for s in found], pa.int64()), pa.array(counts, pa.binary())]
             first = [np.zeros(0, np.int64), *(prefix(s, common).view(np.int64) for s in found)]
             first = pa.ListArray.from_arrays(pa.array(np.cumsum([len(s) for s in first]), pa.int32()), pa.array(np.concatenate(first)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), *cols, first], ["doc_id", "tkey", "rid", "node", "n", "counts", "first"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), *cols, first], ["doc_id", "tkey", "rid", "node", "fp", "n", "counts", "first"])
         give_back()
 
     return run
@@ -331,6 +337,17 @@ def common_shingles(texts: DataFrame) -> np.ndarray:
     return np.sort(found.to_numpy(np.int64).view(np.uint64))
 
 
+def close_fingerprints(classes: DataFrame) -> DataFrame:
+    """Pairs (u, v), u < v, of classes (node, fp): links of the index of fingerprint bytes, each
+    fingerprint standing for the smallest node that has it, and the nodes of equal fingerprints."""
+    first = materialise(classes.groupBy("fp").agg(F.min("node").alias("rep")), "fingerprints")
+    same = classes.select("fp", "node").join(first, "fp").where("node <> rep").select(F.col("rep").alias("u"), F.col("node").alias("v"))
+    near = simhash.links(first).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    pairs = materialise(near.union(same).distinct(), "pairs")
+    discard(first)
+    return pairs
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """One row per row of docs (rid, unique; doc_id; text): rid, doc_id, tkey (xxhash64 of the
     text), node (64-bit hash of its set of shingles) and component (smallest node that links
@@ -339,12 +356,15 @@ def near_copies(docs: DataFrame) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
     texts = docs.select(F.xxhash64(body).alias("tkey"), utf8(F.col("text")).alias("text"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body).alias("tkey"), utf8(F.col("text")).alias("text"), "rid")
-    rows = materialise(rows.mapInArrow(_profiles(common_shingles(texts)), "doc_id long, tkey long, rid long, node long, n long, counts binary, first array<long>"), "profiles")
-    classes = rows.groupBy("node").agg(F.min(F.struct("tkey", "n", "counts", "first")).alias("r")).select("node", "r.*")
+    rows = materialise(rows.mapInArrow(_profiles(common_shingles(texts)), "doc_id long, tkey long, rid long, node long, fp long, n long, counts binary, first array<long>"), "profiles")
+    classes = rows.groupBy("node").agg(F.min(F.struct("tkey", "fp", "n", "counts", "first")).alias("r")).select("node", "r.*")
     classes = materialise(classes, "classes")
+    pairs = close_fingerprints(classes)
+    found = [_links(texts, classes, pairs)]
+    discard(pairs)
     posts = classes.select(F.explode("first").alias("h"), "node").repartition("h").sortWithinPartitions("h")
     met = materialise(posts.mapInArrow(_met(SHORT), "h long, node long, long boolean"), "posts")
-    comp, found = classes.select("node", F.col("node").alias("root")), []
+    comp = connected_components(found[0])
     for how in ROUNDS:
         lists = met if how == ROUNDS[0] else met.where("long")
         lists = materialise(lists.join(comp, "node", "left").select("h", "node", F.coalesce("root", "node").alias("comp")), "lists")

@@ -55,9 +55,13 @@ def fingerprint(text: bytes, words: int = 3) -> int:
         shingles = [b"%b %b %b" % x for x in zip(w, w[1:], w[2:], strict=False)]
     else:
         shingles = [b" ".join(w[i : i + words]) for i in range(len(w) - words + 1)]
-    digest, n = xxhash.xxh64_intdigest, len(shingles)
-    hashes = np.fromiter((digest(s, SEED) for s in shingles), dtype=">u8", count=n)
-    ones = np.zeros(64, np.int64)
+    digest = xxhash.xxh64_intdigest
+    return majority(np.fromiter((digest(s, SEED) for s in shingles), dtype=">u8", count=len(shingles)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Each bit that is 1 in over half the 64-bit hashes; 0 without hashes."""
+    n, hashes, ones = len(hashes), hashes.astype(">u8", copy=False), np.zeros(64, np.int64)
     for i in range(0, n, 8192):
         ones += np.unpackbits(hashes[i : i + 8192].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
