@@ -43,7 +43,7 @@ NUM, DEN = 4, 5
 BUCKETS, COARSE = 256, 64
 #: Share of the texts in the sample, and how many at least; in about how many of all texts a
 #: shingle is common; common shingles that are held at most, those in most texts.
-SHARE, SAMPLE, COMMON, MOST = 1 / 8, 20_000, 20, 2_000_000
+SHARE, SAMPLE, COMMON, MOST = 1 / 8, 20_000, 20, 1_000_000
 SHORT, NEAREST = 16, 3
 #: Texts to compare that are looked up in memory, at most; more are joined by sorting.
 FEW = 1_000_000
