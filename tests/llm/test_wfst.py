@@ -6,6 +6,7 @@ import random
 import struct
 from functools import cache
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -93,3 +94,43 @@ def test_refused_models():
         with pytest.raises(ValueError):
             wfst.Transducer(raw)
     assert wfst.Transducer(model([("a", 1.0)], kind=2)).encode("a") and public_tokenizers.path("piece_bpe_32k.model")
+
+
+def test_many_texts_are_searched_abreast(monkeypatch):
+    """Ids are the library's, and few of the new parts are searched one by one."""
+    r = random.Random(7)
+    lib, m = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")), wfst.load()
+    syllables = ["th", "on", "ti", "er", "ße", "éa", "ing", "E", "***", "7", "你好", "ж", "\U0001f600", "\x00", ",", "."]
+    texts = [" ".join("".join(r.choices(syllables, k=r.randrange(1, 9))) for _ in range(r.randrange(40))) + r.choice(["", "\n", "  ", " \u2581\u2581x"]) for _ in range(400)]
+    texts += ["", " ", "\n\n", "ab" * 300, "the " * 50, "q" * 65]
+    searched = []
+    monkeypatch.setattr(wfst.Transducer, "_by_distance", lambda self, s, g, own=wfst.Transducer._by_distance: searched.append(s) or own(self, s, g))
+    monkeypatch.setattr(wfst, "MEMORY", 3000)
+    monkeypatch.setattr(wfst, "PAIR_MEMORY", 400)
+    assert [i.tolist() for i in m.encode_arrays(texts)] == lib.encode(texts)
+    assert len(searched) < 100 and len({w for t in texts for w in t.split()}) > 5000
+    for size in (1, 50, 5000):
+        monkeypatch.setattr(wfst, "TOGETHER", size)
+        assert [i.tolist() for i in m.encode_arrays(texts[:60])] == lib.encode(texts[:60])
+    assert m.encode_arrays([]) == []
+
+
+@pytest.mark.parametrize("fallback", [False, True])
+def test_many_texts_by_models_made_by_hand(fallback):
+    r = random.Random(3)
+    for kind in (1, 2):
+        m = wfst.Transducer(model(pieces_of(r, 60), kind, fallback))
+        texts = ["".join(r.choice("abcde é你xy\u00fc") for _ in range(r.randrange(60))) for _ in range(300)]
+        assert [i.tolist() for i in m.encode_arrays(texts)] == [wfst.Transducer.encode(m, t) for t in texts]
+        one = wfst.Transducer(model([("a", -1.0)], kind, fallback))
+        assert [i.tolist() for i in one.encode_arrays(texts)] == [one.encode(t) for t in texts]
+
+
+def test_parts_with_one_key_are_told_apart(monkeypatch):
+    class Ones:
+        def integers(self, low, size, dtype):
+            return np.ones(size, dtype)
+
+    monkeypatch.setattr(np.random, "default_rng", lambda seed: Ones())
+    m, texts = wfst.load(), ["ab ba", "ba ab", "abc cab", "ab", ""]
+    assert [i.tolist() for i in m.encode_arrays(texts)] == [m.encode(t) for t in texts]

@@ -39,7 +39,7 @@ def sentencepiece_ids(docs: DataFrame, machine: wfst.Transducer | None = None) -
         m = shared.value
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
-            ids = [m.encode_array(t) for t in texts]
+            ids = m.encode_arrays(texts)
             back = [m.decode(i) for i in ids]
             sizes = np.array([len(i) for i in ids], np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, sizes.cumsum()].astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))

@@ -25,13 +25,15 @@ state settled last, by its longest arc, and weighs a grammar arc only when it co
 The input is cut where no piece can cross, so that paths of the whole are paths of the parts
 one after the other: before a blank that follows another character, around line ends if no
 piece has one, and between two characters that follow each other in no piece. Parts seen
-before are looked up.
+before are looked up. Of many texts, the parts that were not seen before are searched
+abreast: each step takes the next waiting arc of every part that has not reached its end.
 """
 
 from __future__ import annotations
 
 import re
 import struct
+import sys
 from array import array
 from itertools import pairwise
 
@@ -42,6 +44,8 @@ UNIGRAM, PAIRS = 1, 2
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Parts and pairs that a worker remembers before it starts anew.
 MEMORY, PAIR_MEMORY, LONG_PART = 400_000, 500_000, 64
+#: Characters of texts that are encoded together, parts searched abreast, and how few of them are left to be searched one by one.
+TOGETHER, ABREAST, FEW = 1_000_000, 20_000, 24
 #: Characters whose arcs are remembered together, and how many of such strings.
 HEAD, HEADS = 4, 50_000
 #: Bits of a character or symbol in a key; symbols are piece ids, then characters.
@@ -77,11 +81,49 @@ def _fields(buf: bytes):
             i += size
 
 
+def _characters(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+
+
+def _place(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each wanted value is in the sorted keys, -1 if nowhere."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    at[keys[at] != wanted] = -1
+    return at
+
+
+def _equal(c: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the parts of c between the places at: the first of each kind of equal ones, and the kind of each."""
+    begin, size = at[:-1], np.diff(at)
+    inside = np.arange(len(c)) - np.repeat(begin, size)
+    factor = np.random.default_rng(42).integers(1 << 63, size=int(size.max()), dtype=np.int64) | 1
+    with np.errstate(over="ignore"):
+        key = np.add.reduceat((c + 1) * factor[inside], begin)
+    _, first, of = np.unique(key, return_index=True, return_inverse=True)
+    same = size == size[first][of]
+    if same.all():
+        same = c == c[np.repeat(begin[first][of], size) + inside]
+    if not same.all():  # two kinds have one key
+        return np.arange(len(begin)), np.arange(len(begin))
+    return first, of
+
+
 class _Parts(dict):
     """Ids of the parts seen lately: a part that is met again outlives the others."""
 
-    def __init__(self, find, inside):
-        self.find, self.inside, self.older = find, inside, {}
+    def __init__(self, find, inside, find_many):
+        self.find, self.inside, self.older, self.find_many = find, inside, {}, find_many
+        self.pairs = np.sort(np.array([ord(x[0]) << SHIFT | ord(x[1]) for x in inside], np.int64))
+        letters = sorted({ord(a) for x in inside for a in x})
+        self.sort = None
+        if len(letters) < 4000:  # else the table is too large
+            self.sort = np.zeros(sys.maxunicode + 1, np.int32)
+            self.sort[letters] = np.arange(1, len(letters) + 1)
+            self.table = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+            self.table[self.sort[self.pairs >> SHIFT], self.sort[self.pairs & NONE]] = True
 
     def __missing__(self, part: str):
         ids = self.older.get(part)
@@ -98,6 +140,49 @@ class _Parts(dict):
             self[part] = ids
         return ids
 
+    def many(self, text: str, ends: list[int]) -> list[np.ndarray]:
+        """Ids of texts that stand in one string, cut wherever no piece can cross. Equal parts
+        are looked up once, and what is not remembered is searched together."""
+        if not text:
+            return [np.zeros(0, np.int32)] * len(ends)
+        c = _characters(text)
+        cut = np.ones(len(c) + 1, bool)
+        cut[1:-1] = ~self.held(c)
+        cut[ends] = True
+        at = np.flatnonzero(cut)
+        first, of = _equal(c, at)
+        starts, stops = at[first].tolist(), at[first + 1].tolist()
+        parts = [text[i:j] for i, j in zip(starts, stops, strict=True)]
+        found = [self.get(p) for p in parts]
+        new = []
+        for i, p in enumerate(parts):
+            if found[i] is None:
+                found[i] = self.older.get(p)
+                if found[i] is None:
+                    new.append(i)
+                elif len(p) <= LONG_PART:
+                    self[p] = found[i]
+        for i, ids in zip(new, self.find_many([parts[i] for i in new]), strict=True):
+            found[i] = ids
+            if len(parts[i]) <= LONG_PART:
+                self[parts[i]] = ids
+        if 2 * len(self) >= MEMORY:
+            self.older = dict(self)
+            self.clear()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin, n = (np.cumsum(sizes) - sizes)[of], sizes[of]
+        stop = np.cumsum(n)
+        ids = np.frombuffer(b"".join(found), np.int32)[np.arange(stop[-1]) + np.repeat(begin - stop + n, n)]
+        stop = np.r_[0, stop][np.searchsorted(at, ends)].tolist()
+        return [ids[i:j] for i, j in pairwise([0, *stop])]
+
+    def held(self, c: np.ndarray) -> np.ndarray:
+        """Whether a piece holds each two characters that follow each other."""
+        if self.sort is None:
+            return _place(self.pairs, c[:-1] << SHIFT | c[1:]) >= 0
+        k = self.sort[c]
+        return self.table[k[:-1], k[1:]]
+
 
 class Normaliser:
     """Deterministic transducer of a text's characters: (state, is blank) -> (output before the
@@ -131,6 +216,7 @@ class Pieces:
         self.next: dict[int, int] = {}  # state << SHIFT | character -> state
         self.final = [-1]  # piece that ends in a state
         self.heads: dict[str, tuple] = {}  # arcs of the first HEAD characters
+        self.arrays = None
         self.size, self.weight, self.longest = len(pieces), weight, max(map(len, ids), default=1)
         self.fallback = max(weight, default=0.0) + 10 if weight else 0.0
         for p, i in ids.items():
@@ -178,11 +264,19 @@ class Pieces:
         """The same with ends instead of lengths."""
         return [(at + k, x) for k, x in self.steps(s, at)]
 
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The trie's arcs as arrays: sorted state and character, next state; the piece that ends in each state."""
+        if self.arrays is None:
+            keys = np.fromiter(self.next, np.int64, len(self.next))
+            order = np.argsort(keys)
+            self.arrays = keys[order], np.fromiter(self.next.values(), np.int64, len(self.next))[order], np.array(self.final)
+        return self.arrays
+
     def weigh(self, symbol: int) -> float:
         return self.weight[symbol] if symbol < self.size else self.fallback
 
     def __getstate__(self):
-        return self.__dict__ | {"heads": {}}
+        return self.__dict__ | {"heads": {}, "arrays": None}
 
 
 class Bigrams:
@@ -191,6 +285,7 @@ class Bigrams:
     def __init__(self, pieces: list[str], ids: dict[str, int], score: list[float]):
         self.pieces, self.ids, self.score = pieces, ids, score
         self.known: dict[int, float] = {}
+        self.keys, self.finite = np.zeros(0, np.int64), np.zeros(0, bool)  # the same as sorted arrays
 
     def text(self, symbol: int) -> str:
         return "" if symbol == NONE else self.pieces[symbol] if symbol < len(self.pieces) else chr(symbol - len(self.pieces))
@@ -212,11 +307,33 @@ class Bigrams:
             if len(self.known) >= PAIR_MEMORY:
                 self.known.clear()
             a, b = self.text(last), self.text(symbol)
-            weight = self.known[key] = 0.0 if self.merged(a + b) == ([a, b] if a else [b]) else INFINITY
+            stay = (not a or a + b not in self.ids) and self.merged(a + b) == ([a, b] if a else [b])  # two that make a piece don't stay apart
+            weight = self.known[key] = 0.0 if stay else INFINITY
         return weight
 
+    def arcs_finite(self, keys: np.ndarray, fresh: dict[int, bool]) -> np.ndarray:
+        """Whether the arcs (last << SHIFT | symbol) weigh 0; those not in the arrays are added to fresh."""
+        at = _place(self.keys, keys)
+        out = self.finite[at] if len(self.keys) else np.zeros(len(keys), bool)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            ask, of = np.unique(keys[new], return_inverse=True)
+            ask = ask.tolist()
+            for key in ask:
+                if key not in fresh:
+                    fresh[key] = self.arc(key >> SHIFT, key & NONE) == 0
+            out[new] = np.array([fresh[key] for key in ask])[of]
+        return out
+
+    def add(self, fresh: dict[int, bool]) -> None:
+        if len(self.keys) >= PAIR_MEMORY:
+            self.keys, self.finite = self.keys[:0], self.finite[:0]
+        keys = np.r_[self.keys, np.fromiter(fresh, np.int64, len(fresh))]
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.finite = keys[order], np.r_[self.finite, np.fromiter(fresh.values(), bool, len(fresh))][order]
+
     def __getstate__(self):
-        return self.__dict__ | {"known": {}}
+        return self.__dict__ | {"known": {}, "keys": self.keys[:0], "finite": self.finite[:0]}
 
 
 class Transducer:
@@ -264,7 +381,7 @@ class Transducer:
         self._start()
 
     def _start(self) -> None:
-        self.parts = _Parts(lambda part: self._encode(part) if part else b"", self.inside)
+        self.parts = _Parts(lambda part: self._encode(part) if part else b"", self.inside, self._encode_many)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "parts"}
@@ -324,10 +441,102 @@ class Transducer:
             here = back[here]
         return 0.0, out[::-1]
 
+    def _abreast(self, parts: list[str], grammar: Bigrams) -> tuple[np.ndarray, list[int]]:
+        """Symbols of the shortest paths of all parts, one after the other, and where each part's
+        end. The same search in step: every part tries the longest arc that waits at its
+        position; where none is left it goes back. All sequences of finite weight that end at a
+        position are the model's own for what is before it, so a position is settled once."""
+        keys, to, final = self.machine.table()
+        deepest, base = self.machine.longest, self.machine.size
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        start = np.r_[0, np.cumsum(sizes + 1)[:-1]]
+        end = start + sizes
+        c = np.full(int(end[-1]) + 1 + deepest, NONE, np.int64)  # NONE stands after each part: no arc reads it
+        inner = np.ones(int(end[-1]) + 1, bool)
+        inner[end] = False
+        c[: len(inner)][inner] = _characters("".join(parts))
+        n = len(inner)
+        back, symbol, waiting = np.full(n, -1), np.full(n, NONE, np.int64), np.zeros(n, np.int64)
+        length, arc = np.empty((n, deepest), np.int8), np.empty((n, deepest), np.int32)
+        back[start] = start
+
+        def arrive(at: np.ndarray) -> None:
+            """The arcs that wait at positions, the longest last."""
+            arc[at, 0] = base + c[at]  # unless it is a piece of its own
+            length[at, 0] = waiting[at] = 1
+            state, here = np.zeros(len(at), np.int64), at
+            for d in range(deepest):
+                found = _place(keys, state << SHIFT | c[here + d])
+                state, here = to[found[found >= 0]], here[found >= 0]
+                if not len(here):
+                    return
+                piece = final[state]
+                p, piece = here[piece >= 0], piece[piece >= 0]
+                k = waiting[p] if d else 0
+                arc[p, k], length[p, k] = piece, d + 1
+                waiting[p] = k + 1
+
+        fresh: dict[int, bool] = {}
+        at, active = start.copy(), np.arange(len(parts))
+        arrive(at)
+        while len(active) > FEW:
+            here = at[active]
+            left = waiting[here] - 1
+            stuck = left < 0
+            at[active[stuck]] = back[here[stuck]]
+            going = active[~stuck]
+            here, left = here[~stuck], left[~stuck]
+            waiting[here] = left
+            x = arc[here, left].astype(np.int64)
+            there = here + length[here, left]
+            ok = back[there] < 0
+            ok[ok] = grammar.arcs_finite(symbol[here[ok]] << SHIFT | x[ok], fresh)
+            going, here, there = going[ok], here[ok], there[ok]
+            back[there], symbol[there], at[going] = here, x[ok], there
+            arrived = there == end[going]
+            arrive(there[~arrived])
+            if arrived.any():
+                active = active[at[active] != end[active]]
+        if fresh:
+            grammar.add(fresh)
+        for i in active.tolist():
+            before = start[i]
+            for x in self._by_distance(parts[i], grammar)[1]:
+                there = before + (len(self.pieces[x]) if x < base else 1)
+                back[there], symbol[there], before = before, x, there
+        last = np.zeros(n, bool)  # of a symbol of a path
+        at = end
+        while len(at):
+            last[at] = True
+            at = back[at]
+            at = at[at != back[at]]
+        last[start] = False
+        return symbol[last], np.cumsum(last)[end].tolist()
+
+    def _encode_many(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part."""
+        if self.grammar is None or self.machine.longest > LONG_PART or len(parts) <= FEW:
+            return [self._encode(p) if p else b"" for p in parts]
+        out = []
+        for i in range(0, len(parts), ABREAST):
+            some = parts[i : i + ABREAST]
+            short = [p for p in some if 0 < len(p) <= LONG_PART]
+            symbols, ends = self._abreast(short, self.grammar) if short else (np.zeros(0, np.int64), [])
+            written, unusual = symbols.astype(np.int32).tobytes(), np.r_[0, np.cumsum(symbols >= len(self.pieces))]
+            begin, of = 0, {}
+            for p, end, special in zip(short, ends, np.diff(unusual[[0, *ends]]).tolist(), strict=True):
+                of[p] = self._write(symbols[begin:end].tolist()) if special else written[4 * begin : 4 * end]
+                begin = end
+            out += [of[p] if p in of else self._encode(p) if p else b"" for p in some]
+        return out
+
     def _encode(self, s: str) -> bytes:
         """Ids of a part, as int32: what the arcs of its shortest path write."""
+        return self._write(self.shortest_path(s)[1])
+
+    def _write(self, symbols: list[int]) -> bytes:
         out: list[int] = []
-        for x in self.shortest_path(s)[1]:
+        for x in symbols:
             if x < len(self.pieces):
                 out.append(x)
             elif self.fallback:
@@ -347,11 +556,25 @@ class Transducer:
             parts = re.findall(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n" if self.lines else f"{BLANK}*[^{BLANK}]+|{BLANK}+", text)
         else:
             parts = [text]
-        ids = np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), np.int32)
+        return self._tidy(np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), np.int32))
+
+    def _tidy(self, ids: np.ndarray) -> np.ndarray:
         if not self.fallback and len(ids):  # a run of unknown characters is one id, across parts as well
             ids = ids[np.r_[True, (ids[1:] != self.unknown) | (ids[:-1] != self.unknown)]]
         return ids
 
+    def encode_arrays(self, texts: list[str]) -> list[np.ndarray]:
+        """The same of many texts, whose new parts are searched together."""
+        out, held, ends, size = [], [], [], 0
+        for i, text in enumerate(texts, 1):
+            held.append(self.normaliser.apply(text))
+            size += len(held[-1])
+            ends.append(size)
+            if size >= TOGETHER or i == len(texts):
+                out += map(self._tidy, self.parts.many("".join(held), ends))
+                held, ends, size = [], [], 0
+        return out
+
     def encode(self, text: str) -> list[int]:
         return self.encode_array(text).tolist()
 
